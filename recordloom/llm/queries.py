@@ -23,6 +23,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_read(spark, sf_dir, "documents"), 24)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rlz import deduplicate
+
+    return deduplicate(_read(spark, sf_dir, "documents"), full=False)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_decode
 
@@ -35,6 +41,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, identify
+
+    docs = _read(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
