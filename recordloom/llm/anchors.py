@@ -14,11 +14,11 @@ keep apart rows that repeat a document id with another text.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +86,7 @@ def segments(units: np.ndarray, first: np.ndarray, width: int, gram: int) -> tup
 
 
 def text_tags(raw: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh32_intdigest(r) & 0xFFFF for r in raw), np.int64, len(raw))
+    return np.fromiter((zlib.crc32(r) & 0xFFFF for r in raw), np.int64, len(raw))
 
 
 def pack(start: np.ndarray, many: np.ndarray, tag: np.ndarray) -> np.ndarray:
@@ -131,6 +131,12 @@ def texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("did"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
 
 
+def tagged(rows: DataFrame) -> DataFrame:
+    """(did, tag, raw): with the 16 bits that tell texts of one id apart, as text_tags has them. The tag is never null, so that
+    all joins with these rows ask the same of the scan and Spark shuffles the texts once for all of them."""
+    return rows.select("did", F.coalesce(F.crc32("raw").bitwiseAND(0xFFFF), F.lit(0).cast("long")).alias("tag"), "raw")
+
+
 def shared(found: DataFrame) -> DataFrame:
     """The segment rows whose anchor occurs more than once, written to the shared folder."""
     many = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")

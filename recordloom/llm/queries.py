@@ -48,6 +48,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix import deduplicate
+
+    return deduplicate(_read(spark, sf_dir, "documents"), full=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

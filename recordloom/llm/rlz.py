@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, start_of, tag_of, text_tags, texts, windows_of
+from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, start_of, tag_of, tagged, texts, windows_of
 from .textscan import by_bytes, spans, word_hashes, words
 
 WIDTH, GRAM = 20, 6
@@ -68,25 +68,13 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     differ = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     edges = blocks.join(differ, "anchor", "left_semi").select("anchor", "first.*")
     asked = edges.groupBy("did", tag_of(F.col("place")).alias("tag")).agg(F.collect_list(F.struct("anchor", "start", windows_of(F.col("place")).alias("many"))).alias("blocks"))
-    tagged = tag(rows)
-    seen = tagged.join(asked, ["did", "tag"]).select("did", "tag", "raw", "blocks").mapInArrow(boundary_windows(width), "anchor long, window long, did long, tag long, start long").checkpoint()
+    seen = tagged(rows).join(asked, ["did", "tag"]).select("did", "tag", "raw", "blocks").mapInArrow(boundary_windows(width), "anchor long, window long, did long, tag long, start long")
     earliest = seen.groupBy("anchor", "window").agg(F.min(F.struct("did", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     after = (F.col("did") > F.col("first.did")) | (F.col("did") == F.col("first.did")) & (F.col("start") > F.col("first.start"))
     single = seen.join(earliest.select("anchor", "window", "first"), ["anchor", "window"]).where(after).select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
     return whole.unionByName(single)
 
 
-def tag(rows: DataFrame) -> DataFrame:
-    """Adds the 16 bits that tell texts of one id apart."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = batch.column("raw")
-            yield pa.record_batch([batch.column("did"), pa.array(text_tags([r.as_py() for r in raw])), raw], ["did", "tag", "raw"])
-
-    return rows.mapInArrow(run, "did long, tag long, raw binary")
-
-
 def cover(many_units: int, starts: np.ndarray, many: np.ndarray, width: int) -> np.ndarray:
     """Which units some window of the runs covers."""
     step = np.zeros(many_units + 1, np.int64)
@@ -135,6 +123,6 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     if width < 2:
         raise ValueError("a window has two words at least")
     found = per_document(repeated(docs, key, text, width))
-    joined = tag(texts(docs, key, text)).join(found, ["did", "tag"], "left").select("did", "raw", "spans")
+    joined = tagged(texts(docs, key, text)).join(found, ["did", "tag"], "left").select("did", "raw", "spans")
     schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string, spans array<struct<start: long, words: long>>" * full
     return joined.mapInArrow(remover(width, full), schema).withColumnRenamed("id", key)

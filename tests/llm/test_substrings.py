@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from recordloom.llm import suffix
 from recordloom.llm.rlz import deduplicate
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,3 +68,39 @@ def test_repeats_and_empty_tables(spark):
     got = sorted((r.doc_id, r.n_words, r.n_removed) for r in deduplicate(docs).collect())
     assert got == [(1, 30, 0), (1, 30, 0), (1, 35, 30), (2, 30, 30)]
     assert deduplicate(docs.limit(0)).collect() == []
+
+
+def brute_bytes(docs, width):
+    """docs: (key, bytes); a list of (n_removed, n_spans, kept)."""
+    count, out = {}, []
+    for _, t in docs:
+        for k in range(len(t) - width + 1):
+            count[t[k : k + width]] = count.get(t[k : k + width], 0) + 1
+    for _, t in docs:
+        gone = [False] * len(t)
+        for k in range(len(t) - width + 1):
+            if count[t[k : k + width]] > 1:
+                gone[k : k + width] = [True] * width
+        runs = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((sum(gone), runs, bytes(c for c, g in zip(t, gone) if not g)))
+    return out
+
+
+@pytest.mark.parametrize("width,group", [(400, 1000), (400, 1), (37, 1000), (37, 3)])
+def test_bytes_as_brute_force(spark, width, group):
+    docs = [(k, (t or "").encode()) for k, (_, t) in enumerate(corpus(5, 60))]
+    docs += [(1000, b"a" * 1500), (1001, b"a" * (width - 1)), (1002, "né".encode() * 300)]
+    want = {k: w for (k, _), w in zip(docs, brute_bytes(docs, width))}
+    table = spark.createDataFrame([(k, t.decode(), "x") for k, t in docs] + [(None, None, "y")], "doc_id long, text string, did string")
+    got = suffix.deduplicate(table, width=width, group=group).collect()
+    assert len(got) == len(docs) + 1
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
+            assert r.kept_sha256 == hashlib.sha256(want[r.doc_id][2]).hexdigest()
+    assert suffix.deduplicate(table.limit(0)).collect() == []
+
+
+def test_repeated_rows_are_partners(spark):
+    docs = spark.createDataFrame([(1, "xy" * 300), (1, "ab%d" % 1 + "".join(chr(97 + k * k % 26) + str(k) for k in range(300)))] * 2, "doc_id long, text string")
+    assert {r.n_removed - r.n_bytes for r in suffix.deduplicate(docs).collect()} == {0}
