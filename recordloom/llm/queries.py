@@ -47,6 +47,18 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .flac import probe, store
+
+    return probe(store(_read(spark, sf_dir, "documents")))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import contaminated
+
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import fit, identify
 
