@@ -32,6 +32,7 @@ from .textscan import by_bytes
 MOST_KNOWN = 300_000
 MOST_ARCS = 4_000_000
 START = -1
+INNER, LAST = 0, 1
 
 
 class Automaton:
@@ -52,12 +53,13 @@ class Automaton:
         for rank, (u, v) in enumerate(merges):
             if self.gadget(rank, vocab[u], vocab[v], vocab[u + v]):
                 tokens.append(vocab[u + v])
-        self.inner: dict[str, int] = {}
-        self.last: dict[str, int] = {}
+        # the spellings of the arcs' labels, letter by letter; a node holds the token spelled so far under INNER or LAST
+        self.spelled: dict = {}
         for i in tokens:
-            t = self.labels[i]
-            (self.last if t.endswith(end) else self.inner)[t.removesuffix(end)] = i
-        self.longest = max(map(len, [*self.inner, *self.last]))
+            node = self.spelled
+            for letter in self.labels[i].removesuffix(end):
+                node = node.setdefault(letter, {})
+            node[LAST if self.labels[i].endswith(end) else INNER] = i
 
     def gadget(self, rank: int, left: int, right: int, token: int) -> bool:
         """Applies a merge; False if no state has both arcs, and so the token is never spelled."""
@@ -82,29 +84,39 @@ class Automaton:
                 when, state, after = born[state], self.copied[state], False  # the state was copied then
 
     def arc(self, state: int, token: int) -> bool:
-        if state == START:
-            return True
-        key = state << 20 | token
-        known = self.arcs.get(key)
-        if known is None:
-            if len(self.arcs) >= MOST_ARCS:
-                self.arcs.clear()
-            known = self.arcs[key] = self._has(state, token, float("inf"), False)
+        """Has the state after ``state`` an arc ``token``? Fills the transition table."""
+        if len(self.arcs) >= MOST_ARCS:
+            self.arcs.clear()
+        known = self.arcs[state << 20 | token] = self._has(state, token, float("inf"), False)
         return known
 
     def encode(self, word: str) -> list[int]:
         """The tokens of a pre-split word, a non-empty string of base symbols."""
-        n, inner, arc, longest = len(word), self.inner, self.arc, self.longest
-        at, back = [START] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            table = inner if i < n else self.last
-            for j in range(i - longest if i > longest else 0, i):
-                token = table.get(word[j:i])
-                if token is not None and arc(at[j], token):
-                    at[i], back[i] = token, j
+        n, arcs = len(word), self.arcs
+        at: list[int | None] = [None] * (n + 1)
+        at[0], back = START, [0] * (n + 1)
+        for j in range(n):
+            state = at[j]
+            if state is None:
+                raise ValueError(f"no token ends at {j} of {word[:40]!r}")
+            node, i = self.spelled, j
+            while i < n:
+                node = node.get(word[i])
+                if node is None:
                     break
-            else:
-                raise ValueError(f"no token ends at {i} of {word[:40]!r}")
+                i += 1
+                if at[i] is not None:
+                    continue
+                token = node.get(INNER if i < n else LAST)
+                if token is None:
+                    continue
+                if j:
+                    has = arcs.get(state << 20 | token)
+                    if has is None:
+                        has = self.arc(state, token)
+                    if not has:
+                        continue
+                at[i], back[i] = token, j
         out, i = [], n
         while i:
             out.append(at[i])
@@ -134,30 +146,37 @@ class Codec:
         self.plain = re.compile(split.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
         tokenizer = Tokenizer.from_file(path)
         self.normalize, self.presplit = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, tuple[str, str]] = {}
         self.ids: dict[bytes, bytes] = {}
         self.texts: dict[bytes, bytes] = {}
         self.silent: set[bytes] = set()
 
-    def chunk(self, raw: bytes) -> list[int]:
-        """Tokens of a text without ASCII white space."""
+    def pieces_of(self, text: str) -> list[str]:
+        """Pre-split words of a text without special strings."""
+        if text.isascii() and text.isprintable():
+            return self.plain.findall(text.lower())
+        return [p for p, _ in self.presplit(self.normalize(text))] if text else []
+
+    def chunk(self, raw: bytes) -> list[tuple[str, str]]:
+        """Ids and labels, joined by spaces, of the words of a text without ASCII white space."""
         text = raw.decode("utf-8", "replace")
-        out: list[int] = []
-        for part in self.marks.split(text) if self.marks and any(m in text for m in self.special) else [text]:
+        if self.marks and self.marks.search(text):
+            parts = self.marks.split(text)
+        else:
+            parts = [text]
+        out: list[tuple[str, str]] = []
+        for part in parts:
             if part in self.special:
-                out.append(self.special[part])
+                out.append((str(self.special[part]), part))
                 continue
-            if part.isascii() and part.isprintable():
-                pieces = self.plain.findall(part.lower())
-            else:
-                pieces = [p for p, _ in self.presplit(self.normalize(part))] if part else []
-            for p in pieces:
+            for p in self.pieces_of(part):
                 known = self.pieces.get(p)
                 if known is None:
                     if len(self.pieces) >= MOST_KNOWN:
                         self.pieces.clear()
-                    known = self.pieces[p] = tuple(self.automaton.encode(p))
-                out += known
+                    ids = self.automaton.encode(p)
+                    known = self.pieces[p] = (" ".join(map(str, ids)), " ".join(self.automaton.decode(ids)))
+                out.append(known)
         return out
 
     def learn(self, new: set[bytes]) -> None:
@@ -165,11 +184,14 @@ class Codec:
             for table in (self.ids, self.texts, self.silent):
                 table.clear()
         for raw in new:
-            ids = self.chunk(raw)
-            self.ids[raw] = " ".join(map(str, ids)).encode()
-            self.texts[raw] = " ".join(self.automaton.decode(ids)).encode()
-            if not ids:
-                self.silent.add(raw)
+            found = self.chunk(raw)
+            if len(found) == 1:
+                ids, text = found[0]
+            else:
+                ids, text = " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
+                if not found:
+                    self.silent.add(raw)
+            self.ids[raw], self.texts[raw] = ids.encode(), text.encode()
 
     def code(self, raw: bytes) -> tuple[bytes, bytes]:
         """Decimal ids and decoded labels of a whole text, each joined by one space."""
