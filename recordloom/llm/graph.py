@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.durable import keep
+
 
 def _large(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours move to the least of the node and its neighbours."""
@@ -28,7 +30,7 @@ def components(links: DataFrame, left: str, right: str, most_rounds: int = 60) -
     neighbours is no hot group: minima are combined before the shuffle, and the joins are ones that Spark can split.
     """
     a, b = F.greatest(left, right), F.least(left, right)
-    edges = links.select(a.alias("a"), b.alias("b")).where("a <> b").distinct().checkpoint()
+    edges = keep(links.select(a.alias("a"), b.alias("b")).where("a <> b").distinct())
     mark = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a")))
     before = None
     for _ in range(most_rounds):
@@ -36,5 +38,5 @@ def components(links: DataFrame, left: str, right: str, most_rounds: int = 60) -
         if now == before or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         before = now
-        edges = _small(_large(edges)).checkpoint()
+        edges = keep(_small(_large(edges)))
     raise RuntimeError("components did not settle")

@@ -29,6 +29,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_read(spark, sf_dir, "documents"), 24)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read, write
+
+    return read(write(_read(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rlz import deduplicate
 

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.durable import keep
 from .graph import components
 from .textscan import by_bytes, mix
 
@@ -226,7 +227,7 @@ def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: i
     """(a, b): links between the distinct fingerprints of ``prints``, a table with the column print."""
     own = prints.mapInArrow(placer(tables, excess, True), "anchor long, print binary, owner boolean")
     load = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
-    hot = load.select("anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).checkpoint()
+    hot = keep(load.select("anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     some = hot.limit(MOST_HOT + 1).count()
     rows = prints.mapInArrow(placer(tables, excess, False), "anchor long, print binary, owner boolean")
     if some:
@@ -253,8 +254,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
-    printed = rows.mapInArrow(printer(size, seed, 1, False), f"id {kind}, print binary").checkpoint()
-    nodes = printed.groupBy("print").agg(F.min("id").alias("low")).checkpoint()
+    printed = keep(rows.mapInArrow(printer(size, seed, 1, False), f"id {kind}, print binary"))
+    nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
     found = links(nodes.select("print"), [tuple(range(words))], threshold, threshold, True)
     joined = components(found, "a", "b")
     low = joined.join(nodes, joined["node"] == nodes["print"]).groupBy("root").agg(F.min("low").alias("least"))
