@@ -180,3 +180,23 @@ def identify(docs: DataFrame, net: Network | None, key: str = "doc_id", text: st
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     found = rows.mapInArrow(predictor(net), f"id {kind}, lang_pred string, score double")
     return found.select(F.col("id").alias(key), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, net: Network | None, text: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has letters and is in some language with a score of ``least``.
+
+    Without a network, texts with letters are accepted.
+    """
+
+    @F.arrow_udf("double")
+    def score(raw: pa.Array) -> pa.Array:
+        out = []
+        for part in by_bytes(iter([pa.record_batch([raw], ["raw"])]), "raw", 1 << 20):
+            x, row, weight = windows(*spans(part.column("raw")))
+            p = net.predict(x) * weight[:, None]
+            total = np.stack([np.bincount(row, p[:, k], part.num_rows) for k in range(len(net.langs))], axis=1)
+            out.append(total.max(axis=1) / np.maximum(np.bincount(row, weight, part.num_rows), 1))
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
+
+    lettered = docs.where(F.col(text).rlike(r"\p{L}"))
+    return lettered if net is None else lettered.where(score(F.col(text).cast("binary")) >= least)

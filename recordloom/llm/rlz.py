@@ -126,3 +126,29 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     joined = tagged(texts(docs, key, text)).join(found, ["did", "tag"], "left").select("did", "raw", "spans")
     schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string, spans array<struct<start: long, words: long>>" * full
     return joined.mapInArrow(remover(width, full), schema).withColumnRenamed("id", key)
+
+
+def stripped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs``, all columns, with texts rid of duplicate spans: the kept words joined by one space.
+
+    A text without such spans stays as it is, and a row whose words all go is left out. Else as ``deduplicate``.
+    """
+
+    @F.arrow_udf("binary")
+    def kept(raws: pa.Array, found: pa.Array) -> pa.Array:
+        out: list[bytes | None] = []
+        for raw, spans_ in zip(raws, found, strict=True):
+            if not spans_.is_valid:
+                out.append(None)
+                continue
+            parts, flat = raw.as_py().split(), spans_.values
+            marked = cover(len(parts), flat.field(0).to_numpy(zero_copy_only=False), flat.field(1).to_numpy(zero_copy_only=False), width)
+            out.append(b" ".join([p for p, m in zip(parts, marked.tolist(), strict=True) if not m]))
+        return pa.array(out, pa.binary())
+
+    found = per_document(repeated(docs, key, text, width)).withColumnsRenamed({"did": "_did", "tag": "_tag", "spans": "_spans"})
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    marked = docs.withColumns({"_did": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "_tag": F.crc32(raw).bitwiseAND(0xFFFF)})
+    joined = marked.join(found, ["_did", "_tag"], "left").withColumn("_kept", kept(raw, F.col("_spans")))
+    changed = F.when(F.col("_kept").isNull(), F.col(text)).otherwise(F.col("_kept").cast("string"))
+    return joined.where("_kept is null or octet_length(_kept) > 0").withColumn(text, changed).select(*docs.columns)

@@ -21,7 +21,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.durable import keep
@@ -268,3 +268,61 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 def _big_endian(column: str):
     """The eight bytes of a little-endian word, most significant first."""
     return F.concat(*(F.substring(F.col(column), k, 1) for k in range(8, 0, -1)))
+
+
+#: Tables of the search by similarity, one code word each, and the excess within which guests are placed. Two texts with a similarity of 0.8 differ in about
+#: 15 of 100 bits; they meet in a table with a chance of about 0.4, and so in one of twelve with over 0.99.
+TABLES, EXCESS = 12, 1
+
+
+def angle_bits(similarity: float, bits: int) -> int:
+    """Differing bits that sets of this Jaccard similarity stay under, by three standard deviations and more."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * share + 3.5 * np.sqrt(bits * share * (1 - share)))
+
+
+def shingle_sets(size: int, seed: int):
+    """A mapInArrow function: (did, mark, raw) to (did, mark, shingles), the distinct hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "raw"):
+            sets = [np.unique(shingle_hashes(raw.as_py(), size, seed)).view(np.int64) for raw in batch.column("raw")]
+            yield pa.record_batch([batch.column("did"), batch.column("mark"), pa.array(sets, pa.list_(pa.int64()))], ["did", "mark", "shingles"])
+
+    return run
+
+
+def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each group of near copies: the one with the least key.
+
+    Two texts are near copies if their sets of ``size``-word shingles have a Jaccard similarity of ``similarity`` at least; groups are connected sets.
+    Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; at each anchor a guest is paired
+    with its nearest owner and the least one that it may be similar to, and the pairs are verified on the whole shingle sets. Texts with one fingerprint, copies above
+    all, are one node. Rows that repeat a key and text count as copies; a null key is after all others; texts without words are copies of each other.
+    An empty table gives no rows.
+    """
+    words = -(-TABLES * LENGTH // 64)
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    identity = [F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1)).alias("_did"), F.xxhash64(raw).alias("_mark")]
+    rows = docs.select(F.struct(*(c.alias(n) for c, n in zip(identity, ("did", "mark"), strict=True))).alias("id"), raw.alias("raw"))
+    kind = "struct<did: long, mark: long>"
+    printed = keep(rows.mapInArrow(printer(size, seed, words, True), f"id {kind}, print binary"))
+    nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
+    most = angle_bits(similarity, 64 * words)
+    found = links(nodes.select("print"), [(k,) for k in range(TABLES)], EXCESS, most, False)
+    pairs = keep(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    named = nodes.select("print", "low.did", "low.mark")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct().join(named, "print")
+    plain = rows.select("id.did", "id.mark", "raw").join(wanted.select("did", "mark"), ["did", "mark"], "left_semi")
+    sets = keep(plain.mapInArrow(shingle_sets(size, seed), "did long, mark long, shingles array<long>").dropDuplicates(["did", "mark"]).join(wanted, ["did", "mark"]).select("print", "shingles"))
+    both = pairs.join(sets.withColumnsRenamed({"print": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"print": "b", "shingles": "y"}), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    similar = both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+    joined = components(similar, "a", "b")
+    low = joined.join(nodes, joined["node"] == nodes["print"]).groupBy("root").agg(F.min("low").alias("least"))
+    later = joined.join(low, "root").select(F.col("node").alias("print"), "least")
+    kept = nodes.join(later, "print", "left").where("least is null or least = low").select("low.did", "low.mark")
+    chosen = docs.withColumns({"_did": identity[0], "_mark": identity[1]}).join(kept.withColumnsRenamed({"did": "_did", "mark": "_mark"}), ["_did", "_mark"], "left_semi")
+    # rows that repeat a key and text: they stand together already, so this moves nothing
+    nth = F.row_number().over(Window.partitionBy("_did", "_mark").orderBy(F.lit(1)))
+    return chosen.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
