@@ -26,8 +26,10 @@ from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, sta
 from .textscan import by_bytes, mix, spans
 
 WIDTH, GRAM = 400, 32
-#: Segments of one anchor that are refined together, and bytes of a batch.
-GROUP, BATCH_BYTES = 1000, 4 << 20
+#: Bytes of segments that are refined together.
+BATCH_BYTES = 4 << 20
+#: A segment has under twice the width; so many of them fill a batch.
+GROUP = BATCH_BYTES // (2 * WIDTH)
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
