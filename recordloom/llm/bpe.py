@@ -32,6 +32,18 @@ from .textscan import by_bytes
 MOST_KNOWN = 300_000
 MOST_ARCS = 4_000_000
 START = -1
+#: Marks that stand alone behind a word.
+MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
+
+
+def _byte_level() -> dict[int, int]:
+    """The published byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for U+0100 and on in order."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
+BYTE_LEVEL = _byte_level()
 INNER, LAST = 0, 1
 
 
@@ -99,24 +111,21 @@ class Automaton:
             state = at[j]
             if state is None:
                 raise ValueError(f"no token ends at {j} of {word[:40]!r}")
-            node, i = self.spelled, j
-            while i < n:
-                node = node.get(word[i])
+            node = self.spelled
+            for i in range(j + 1, n + 1):
+                node = node.get(word[i - 1])
                 if node is None:
                     break
-                i += 1
-                if at[i] is not None:
-                    continue
-                token = node.get(INNER if i < n else LAST)
-                if token is None:
-                    continue
-                if j:
-                    has = arcs.get(state << 20 | token)
-                    if has is None:
-                        has = self.arc(state, token)
-                    if not has:
-                        continue
-                at[i], back[i] = token, j
+                if at[i] is None:
+                    token = node.get(INNER if i < n else LAST)
+                    if token is not None:
+                        if j:
+                            has = arcs.get(state << 20 | token)
+                            if has is None:
+                                has = self.arc(state, token)
+                            if not has:
+                                continue
+                        at[i], back[i] = token, j
         out, i = [], n
         while i:
             out.append(at[i])
@@ -151,6 +160,22 @@ class Codec:
         self.texts: dict[bytes, bytes] = {}
         self.silent: set[bytes] = set()
 
+    def words_of(self, raw: bytes) -> list[str] | None:
+        """The pre-split words of the usual chunk, letters with a mark behind them or none; None for any other."""
+        tail = None
+        if not raw.isalpha() and raw[-1:] in MARKS:
+            raw, tail = raw[:-1], raw[-1:].decode()
+        if raw.isalpha():
+            word = raw.lower().decode()
+        else:
+            text = raw.decode("utf-8", "replace")
+            # letters below U+0250 are in composed form, and their classes and small forms the same in every Unicode version
+            small = text.lower()
+            if not text.isalpha() or not small.isalpha() or max(text) >= "\u0250":
+                return None
+            word = small.encode().decode("latin-1").translate(BYTE_LEVEL)
+        return [word, tail] if tail else [word]
+
     def pieces_of(self, text: str) -> list[str]:
         """Pre-split words of a text without special strings."""
         if text.isascii() and text.isprintable():
@@ -159,6 +184,9 @@ class Codec:
 
     def chunk(self, raw: bytes) -> list[tuple[str, str]]:
         """Ids and labels, joined by spaces, of the words of a text without ASCII white space."""
+        usual = self.words_of(raw)
+        if usual is not None:
+            return [self.pieces.get(p) or self.coded(p) for p in usual]
         text = raw.decode("utf-8", "replace")
         if self.marks and self.marks.search(text):
             parts = self.marks.split(text)
@@ -170,15 +198,16 @@ class Codec:
                 out.append((str(self.special[part]), part))
                 continue
             for p in self.pieces_of(part):
-                known = self.pieces.get(p)
-                if known is None:
-                    if len(self.pieces) >= MOST_KNOWN:
-                        self.pieces.clear()
-                    ids = self.automaton.encode(p)
-                    known = self.pieces[p] = (" ".join(map(str, ids)), " ".join(self.automaton.decode(ids)))
-                out.append(known)
+                out.append(self.pieces.get(p) or self.coded(p))
         return out
 
+    def coded(self, piece: str) -> tuple[str, str]:
+        if len(self.pieces) >= MOST_KNOWN:
+            self.pieces.clear()
+        ids = self.automaton.encode(piece)
+        known = self.pieces[piece] = (" ".join(map(str, ids)), " ".join(self.automaton.decode(ids)))
+        return known
+
     def learn(self, new: set[bytes]) -> None:
         if len(self.ids) + len(new) > MOST_KNOWN:
             for table in (self.ids, self.texts, self.silent):
