@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.durable import keep
 from .textscan import by_bytes, leftmost_minima, mix, spans
 
 #: A null document id counts as this one, before all others.
@@ -139,8 +140,9 @@ def tagged(rows: DataFrame) -> DataFrame:
 
 def shared(found: DataFrame) -> DataFrame:
     """The segment rows whose anchor occurs more than once, written to the shared folder."""
-    many = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    return found.join(many, "anchor", "left_semi").checkpoint()
+    # written on its own, so that the join has two plain shuffles and Spark can split an anchor that very many rows share
+    many = keep(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
+    return keep(found.join(many, "anchor", "left_semi"))
 
 
 def per_document(rows: DataFrame) -> DataFrame:
