@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import picks  # noqa: F401
+from . import audits, orders, picks  # noqa: F401
