@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.spread import apart
 from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, start_of, tag_of, tagged, texts, windows_of
 from .textscan import by_bytes, spans, word_hashes, words
 
@@ -62,16 +63,16 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     blocks = found.groupBy("anchor", "content").agg(first, F.count(F.lit(1)).alias("n"))
     # factors that repeat a whole block
     later = (F.col("did") > F.col("first.did")) | (F.col("did") == F.col("first.did")) & (start_of(F.col("place")) > F.col("first.start"))
-    copied = found.join(blocks.where("n > 1").select("anchor", "content", "first"), ["anchor", "content"]).where(later)
+    copied = apart(found, blocks.where("n > 1").select("anchor", "content", "first"), ["anchor", "content"]).where(later)
     whole = copied.select("did", tag_of(F.col("place")).alias("tag"), start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many"))
     # factor boundaries: blocks that differ behind one anchor
     differ = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    edges = blocks.join(differ, "anchor", "left_semi").select("anchor", "first.*")
+    edges = apart(blocks, differ, ["anchor"]).select("anchor", "first.*")
     asked = edges.groupBy("did", tag_of(F.col("place")).alias("tag")).agg(F.collect_list(F.struct("anchor", "start", windows_of(F.col("place")).alias("many"))).alias("blocks"))
     seen = tagged(rows).join(asked, ["did", "tag"]).select("did", "tag", "raw", "blocks").mapInArrow(boundary_windows(width), "anchor long, window long, did long, tag long, start long")
     earliest = seen.groupBy("anchor", "window").agg(F.min(F.struct("did", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     after = (F.col("did") > F.col("first.did")) | (F.col("did") == F.col("first.did")) & (F.col("start") > F.col("first.start"))
-    single = seen.join(earliest.select("anchor", "window", "first"), ["anchor", "window"]).where(after).select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
+    single = apart(seen, earliest.select("anchor", "window", "first"), ["anchor", "window"]).where(after).select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
     return whole.unionByName(single)
 
 
