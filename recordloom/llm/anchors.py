@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import keep
-from .textscan import by_bytes, leftmost_minima, mix, spans
+from .textscan import SLICE_BYTES, by_bytes, leftmost_minima, mix, spans
 
 #: A null document id counts as this one, before all others.
 NO_ID = -(2**63)
@@ -109,11 +109,11 @@ def tag_of(place: Column) -> Column:
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def scanner(units: Units, width: int, gram: int):
+def scanner(units: Units, width: int, gram: int, limit: int = SLICE_BYTES):
     """A mapInArrow function: (did, raw binary) to segment rows. ``units``: bytes and offsets to unit hashes and first-unit indexes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "raw"):
+        for batch in by_bytes(batches, "raw", limit):
             raw = batch.column("raw")
             hashes, first = units(*spans(raw))
             doc, start, many, anchor, content = segments(hashes, first, width, gram)

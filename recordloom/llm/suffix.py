@@ -58,7 +58,8 @@ def refine(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     out = np.zeros(len(starts), bool)
     if len(starts) < 2:
         return out
-    grams = Rolling(_BYTES[data]).grams(q)
+    step = 1 << 20  # the prefix sums of a part at a time
+    grams = np.concatenate([Rolling(_BYTES[data[k : k + step + q - 1]]).grams(q) for k in range(0, len(data) - q + 1, step)])
     live = np.flatnonzero(_point(grams[starts])[1])  # q-gram buckets
     if not len(live):
         return out
@@ -162,7 +163,7 @@ RUN = "did long, tag long, start long, many long"
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, group: int = GROUP) -> DataFrame:
     """(did, tag, start, many): runs of ``many`` windows, from the byte ``start`` on, that all start elsewhere too."""
     rows = texts(docs, key, text)
-    found = shared(rows.mapInArrow(scanner(byte_units, width, min(GRAM, -(-width // 4))), SEGMENT))
+    found = shared(rows.mapInArrow(scanner(byte_units, width, min(GRAM, -(-width // 4)), 1 << 20), SEGMENT))
     blocks = found.groupBy("anchor", "content").agg(F.min(F.struct("did", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     twice = blocks.where("n > 1").select("anchor", "content")
     whole = found.join(twice, ["anchor", "content"], "left_semi").select("did", tag_of(F.col("place")).alias("tag"), start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many"))
