@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.spread import apart
 from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, start_of, tag_of, tagged, texts, windows_of
 from .textscan import by_bytes, mix, spans
 
@@ -166,10 +167,10 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     found = shared(rows.mapInArrow(scanner(byte_units, width, min(GRAM, -(-width // 4)), 1 << 20), SEGMENT))
     blocks = found.groupBy("anchor", "content").agg(F.min(F.struct("did", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     twice = blocks.where("n > 1").select("anchor", "content")
-    whole = found.join(twice, ["anchor", "content"], "left_semi").select("did", tag_of(F.col("place")).alias("tag"), start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many"))
+    whole = apart(found, twice, ["anchor", "content"]).select("did", tag_of(F.col("place")).alias("tag"), start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many"))
     differ = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     place = F.col("first.place")
-    edges = blocks.join(differ, "anchor").select("anchor", "m", F.col("first.did").alias("did"), tag_of(place).alias("tag"), start_of(place).alias("start"), windows_of(place).alias("many"))
+    edges = apart(blocks, differ, ["anchor"]).select("anchor", "m", F.col("first.did").alias("did"), tag_of(place).alias("tag"), start_of(place).alias("start"), windows_of(place).alias("many"))
     text_rows = tagged(rows)
 
     def asked(part: DataFrame) -> DataFrame:
@@ -180,7 +181,7 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     refined = bytes_.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(refiner(width), RUN)
     seen = asked(edges.where(F.col("m") > group)).mapInArrow(hashed_windows(width), "anchor long, window long, did long, tag long, start long")
     again = seen.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "window")
-    single = seen.join(again, ["anchor", "window"], "left_semi").select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
+    single = apart(seen, again, ["anchor", "window"]).select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
     return whole.unionByName(refined).unionByName(single)
 
 
