@@ -1,10 +1,12 @@
-"""Joins that stay spread out when a key is very common."""
+"""Joins and numberings that stay spread out when a key is very common."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .durable import keep
+
 
 def apart(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``left`` joined with ``right`` on ``keys`` (never null), both sides shuffled anew by a hash of the keys.
@@ -19,3 +21,23 @@ def apart(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
     for k in keys:
         condition &= (F.col(k) >= F.col(f"_same_{k}")) & (F.col(k) <= F.col(f"_same_{k}"))
     return one.join(two, condition, how).drop("_hash", "_hash2", *(f"_same_{k}" for k in keys))
+
+
+def numbered(rows: DataFrame, by: list[str], order: list[Column], out: str) -> DataFrame:
+    """Adds gapless numbers from 0 in ``order`` within each group, and ``<out>_of``, the group's size, however few and large the groups are.
+
+    Rows are partitioned by ranges of (group, order), which is written down; they are numbered within each range, and the counts of the
+    ranges before give the offset. No task sorts a whole group. ``order`` must be unique within a group.
+    """
+    placed = keep(rows.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    counts = placed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumns({"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), f"{out}_of": F.sum("_n").over(Window.partitionBy(*by))}).drop("_n")
+    inside = Window.partitionBy(*by, "_range").orderBy(*order)
+    renamed = offsets.withColumnsRenamed({c: f"_by_{c}" for c in [*by, "_range"]})
+    same = None
+    for c in [*by, "_range"]:
+        equal = F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        same = equal if same is None else same & equal
+    joined = placed.withColumn("_nth", F.row_number().over(inside) - 1).join(renamed, same)
+    return joined.withColumn(out, (F.col("_before") + F.col("_nth")).cast("long")).drop("_range", "_nth", "_before", *(f"_by_{c}" for c in [*by, "_range"]))
