@@ -131,8 +131,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     over each of their texts. More than MOST_LANGUAGES languages are an error.
     """
     learn = docs.where(F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(key)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = learn.select(F.col(key).alias("id"), F.col(lang).alias("lang")).withColumn("place", place).where(F.col("place") <= ROWS_A_LANGUAGE)
+    chosen = learn.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("hash"))
+    # the first of a language are among the first of its parts, so no task sees more than those
+    for by in (["lang", F.pmod("hash", F.lit(16))], ["lang"]):
+        chosen = chosen.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("hash", "id"))).where(F.col("place") <= ROWS_A_LANGUAGE)
     ids = {(r.id, r.lang) for r in chosen.limit(ROWS_A_LANGUAGE * MOST_LANGUAGES + 1).collect()}
     if not ids:
         return None
