@@ -44,7 +44,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_decode
 
-    return encode_decode(_read(spark, sf_dir, "documents"), _vocabulary(), full=False)
+    return encode_decode(_read(spark, sf_dir, "documents"), _vocabulary(), more=())
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +84,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import oracles
+
+    return {"op2_sharding": oracles.SHARDING, "op3_warc": oracles.WARC, "op4_substring_dedup": oracles.SUBSTRINGS, "op10_suffix_dedup": oracles.SUFFIXES}
