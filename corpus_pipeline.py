@@ -39,7 +39,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and ids of each document."""
     import public_tokenizers
 
-    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), more=("ids",))
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 

@@ -22,15 +22,17 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import by_bytes
+from .textscan import by_bytes, give_back
 
-#: Entries kept by a task in each of its tables of known words; a table is emptied when it is full.
-MOST_KNOWN = 300_000
-MOST_ARCS = 4_000_000
+#: Entries of each of a task's tables of known words. A full table becomes the old one, from which what is met again moves to the new one.
+MOST_KNOWN = 200_000
+MOST_ARCS = 300_000
+BATCH_BYTES = 1 << 20
 START = -1
 #: Marks that stand alone behind a word.
 MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
@@ -156,8 +158,10 @@ class Codec:
         tokenizer = Tokenizer.from_file(path)
         self.normalize, self.presplit = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
         self.pieces: dict[str, tuple[str, str]] = {}
+        self.old_pieces: dict[str, tuple[str, str]] = {}
         self.ids: dict[bytes, bytes] = {}
         self.texts: dict[bytes, bytes] = {}
+        self.old: tuple[dict[bytes, bytes], dict[bytes, bytes]] = {}, {}
         self.silent: set[bytes] = set()
 
     def words_of(self, raw: bytes) -> list[str] | None:
@@ -203,16 +207,22 @@ class Codec:
 
     def coded(self, piece: str) -> tuple[str, str]:
         if len(self.pieces) >= MOST_KNOWN:
-            self.pieces.clear()
-        ids = self.automaton.encode(piece)
-        known = self.pieces[piece] = (" ".join(map(str, ids)), " ".join(self.automaton.decode(ids)))
+            self.pieces, self.old_pieces = {}, self.pieces
+        known = self.old_pieces.get(piece)
+        if known is None:
+            ids = self.automaton.encode(piece)
+            known = " ".join(map(str, ids)), " ".join(self.automaton.decode(ids))
+        self.pieces[piece] = known
         return known
 
     def learn(self, new: set[bytes]) -> None:
         if len(self.ids) + len(new) > MOST_KNOWN:
-            for table in (self.ids, self.texts, self.silent):
-                table.clear()
+            self.old, self.ids, self.texts = (self.ids, self.texts), {}, {}
+        old_ids, old_texts = self.old
         for raw in new:
+            if raw in old_ids:
+                self.ids[raw], self.texts[raw] = old_ids[raw], old_texts[raw]
+                continue
             found = self.chunk(raw)
             if len(found) == 1:
                 ids, text = found[0]
@@ -228,38 +238,43 @@ class Codec:
         new = set(chunks).difference(self.ids)
         if new:
             self.learn(new)
-            if not self.ids.keys() >= set(chunks):  # the tables were emptied meanwhile
+            if not self.ids.keys() >= set(chunks):  # the tables were changed meanwhile
                 self.learn(set(chunks).difference(self.ids))
         if self.silent and not self.silent.isdisjoint(chunks):
             chunks = [c for c in chunks if c not in self.silent]
         return b" ".join(map(self.ids.__getitem__, chunks)), b" ".join(map(self.texts.__getitem__, chunks))
 
 
-def coder(path: str, full: bool):
+def coder(path: str, more: tuple[str, ...]):
     """A mapInArrow function: (id, raw binary) to (id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
-        for batch in by_bytes(batches, "raw"):
+        for batch in by_bytes(batches, "raw", BATCH_BYTES):
             n, ids_sha, text_sha, ids_all, texts = [], [], [], [], []
             for raw in batch.column("raw"):
                 ids, text = codec.code(raw.as_py())
                 n.append(ids.count(b" ") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(text).hexdigest())
-                if full:
-                    ids_all.append([int(x) for x in ids.split()])
-                    texts.append(text.decode())
+                if "ids" in more:
+                    ids_all.append(np.array(ids.split(), np.int32) if ids else np.zeros(0, np.int32))
+                if "decoded" in more:
+                    texts.append(text)
             out = {"id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
-            if full:
-                out |= {"ids": pa.array(ids_all, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())}
+            if "ids" in more:
+                out["ids"] = pa.ListArray.from_arrays(np.cumsum([0, *n]).astype(np.int32), np.concatenate(ids_all))
+            if "decoded" in more:
+                out["decoded"] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_pydict(out)
+        del codec
+        give_back()
 
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", full: bool = True) -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256 and, with ``full``, ids (array<int>) and decoded (string) of every row.
+def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", more: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """key, n_tokens, ids_sha256, decoded_sha256 and, as ``more`` says, ids (array<int>) and decoded (string) of every row.
 
     Special strings inside a text become special tokens, as the library does by default; none are added. Texts of any length are whole: a text is cut at ASCII
     white space, which the tokenizer drops. A null text counts as empty: no tokens, digests of the empty string.
@@ -267,5 +282,6 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
-    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * full
-    return rows.mapInArrow(coder(path, full), schema).withColumnRenamed("id", key)
+    kinds = {"ids": "array<int>", "decoded": "string"}
+    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(f", {c} {kinds[c]}" for c in kinds if c in more)
+    return rows.mapInArrow(coder(path, more), schema).withColumnRenamed("id", key)

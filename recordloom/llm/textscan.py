@@ -6,6 +6,9 @@ Python object is made per word.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +27,14 @@ _K1, _K2, _K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD,
 _S33, _S29, _S32 = (np.uint64(x) for x in (33, 29, 32))
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Spark keeps a worker process for later tasks, and with it what its allocators hold on to."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
@@ -36,6 +47,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_
             upto = min(max(upto, at + 1), batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
+    give_back()
 
 
 def spans(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
