@@ -66,7 +66,7 @@ def cue_songs(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), X.decode_utf8_or_cp1251("content").alias("text"))
     blocks = raw.select("file", F.posexplode(F.slice(F.split("text", CUE_TRACK), 2, 10_000)).alias("pos", "block"))
     field = lambda name: X.found("block", rf'(?m)^\s*{name}\s+"(.*)"\s*$')
-    songs = blocks.select("file", "pos", field("TITLE").alias("title"), field("PERFORMER").alias("performer"), F.trim(X.found("block", r"(?m)^\s*REM FMDALBUM[ \t]+(.*?)\s*$")).alias("album"))
+    songs = blocks.select("file", "pos", field("TITLE").alias("title"), field("PERFORMER").alias("performer"), F.trim(X.found("block", r"(?m)^\s*REM \w*ALBUM[ \t]+(.*?)\s*$")).alias("album"))
     songs = songs.where(F.col("performer").isNotNull() & (F.col("performer") != "") & ~F.coalesce("title", F.lit("")).rlike(r"(?i)\A\(?Track \d+\)?\z"))
     performer, inside = X.clean("performer"), X.found(X.clean("performer"), r"\A.*?\s*\[(.*)\]\z")
     early = F.col("album").isNull() & inside.isNotNull()
