@@ -15,31 +15,41 @@ from recordloom.operators.durable import new_folder
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows: of texts, 10,000 are tens of megabytes in the JVM and in Python at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; those without letters, or with hardly any score, go."""
+    small_batches(spark)
     return langid.accepted(docs, langid.fit(docs)).select(COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose five-word shingles have a similarity of 0.8 or more."""
+    small_batches(spark)
     return simhash.without_near_copies(docs).select(COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of windows of 20 words that start earlier too."""
+    small_batches(spark)
     return rlz.stripped(docs).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaked."""
+    small_batches(spark)
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and ids of each document."""
+    small_batches(spark)
     import public_tokenizers
 
-    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), more=("ids",))
+    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), more=("ids",), most_known=60_000)
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 

@@ -142,7 +142,7 @@ class Automaton:
 class Codec:
     """A word tokenizer file: its own normaliser and pre-splitting rule, with the automaton in place of its model."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most_known: int = MOST_KNOWN) -> None:
         from tokenizers import Tokenizer
 
         spec = json.load(open(path, encoding="utf-8"))
@@ -157,6 +157,7 @@ class Codec:
         self.plain = re.compile(split.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
         tokenizer = Tokenizer.from_file(path)
         self.normalize, self.presplit = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
+        self.most_known = most_known
         self.pieces: dict[str, tuple[str, str]] = {}
         self.old_pieces: dict[str, tuple[str, str]] = {}
         self.ids: dict[bytes, bytes] = {}
@@ -206,7 +207,7 @@ class Codec:
         return out
 
     def coded(self, piece: str) -> tuple[str, str]:
-        if len(self.pieces) >= MOST_KNOWN:
+        if len(self.pieces) >= self.most_known:
             self.pieces, self.old_pieces = {}, self.pieces
         known = self.old_pieces.get(piece)
         if known is None:
@@ -216,7 +217,7 @@ class Codec:
         return known
 
     def learn(self, new: set[bytes]) -> None:
-        if len(self.ids) + len(new) > MOST_KNOWN:
+        if len(self.ids) + len(new) > self.most_known:
             self.old, self.ids, self.texts = (self.ids, self.texts), {}, {}
         old_ids, old_texts = self.old
         for raw in new:
@@ -245,11 +246,11 @@ class Codec:
         return b" ".join(map(self.ids.__getitem__, chunks)), b" ".join(map(self.texts.__getitem__, chunks))
 
 
-def coder(path: str, more: tuple[str, ...]):
+def coder(path: str, more: tuple[str, ...], most_known: int = MOST_KNOWN):
     """A mapInArrow function: (id, raw binary) to (id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = Codec(path, most_known)
         for batch in by_bytes(batches, "raw", BATCH_BYTES):
             n, ids_sha, text_sha, ids_all, texts = [], [], [], [], []
             for raw in batch.column("raw"):
@@ -273,7 +274,7 @@ def coder(path: str, more: tuple[str, ...]):
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", more: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", more: tuple[str, ...] = ("ids", "decoded"), most_known: int = MOST_KNOWN) -> DataFrame:
     """key, n_tokens, ids_sha256, decoded_sha256 and, as ``more`` says, ids (array<int>) and decoded (string) of every row.
 
     Special strings inside a text become special tokens, as the library does by default; none are added. Texts of any length are whole: a text is cut at ASCII
@@ -284,4 +285,4 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
     kinds = {"ids": "array<int>", "decoded": "string"}
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(f", {c} {kinds[c]}" for c in kinds if c in more)
-    return rows.mapInArrow(coder(path, more), schema).withColumnRenamed("id", key)
+    return rows.mapInArrow(coder(path, more, most_known), schema).withColumnRenamed("id", key)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.spread import apart
 from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, start_of, tag_of, tagged, texts, windows_of
-from .textscan import by_bytes, spans, word_hashes, words
+from .textscan import by_bytes, give_back, spans, word_hashes, words
 
 WIDTH, GRAM = 20, 6
 
@@ -145,7 +145,9 @@ def stripped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
             parts, flat = raw.as_py().split(), spans_.values
             marked = cover(len(parts), flat.field(0).to_numpy(zero_copy_only=False), flat.field(1).to_numpy(zero_copy_only=False), width)
             out.append(b" ".join([p for p, m in zip(parts, marked.tolist(), strict=True) if not m]))
-        return pa.array(out, pa.binary())
+        done = pa.array(out, pa.binary())
+        give_back()
+        return done
 
     found = per_document(repeated(docs, key, text, width)).withColumnsRenamed({"did": "_did", "tag": "_tag", "spans": "_spans"})
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -322,7 +322,7 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     Two texts are near copies if their sets of ``size``-word shingles have a Jaccard similarity of ``similarity`` at least; groups are connected sets.
     Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; at each anchor a guest is paired
-    with the nearest owner that it may be similar to and the nearest lesser one; of all anchors the best of each kind are verified on the whole shingle sets. Texts with one fingerprint, copies above
+    with the nearest owner that it may be similar to and the nearest lesser one, and all pairs are verified on the whole shingle sets. Texts with one fingerprint, copies above
     all, are one node. Rows that repeat a key and text count as copies; a null key is after all others; texts without words are copies of each other.
     An empty table gives no rows.
     """
@@ -335,11 +335,7 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
     most = angle_bits(similarity, 64 * words)
     found = links(nodes.select("print"), [(k,) for k in range(TABLES)], EXCESS, most, False)
-    # of all anchors together: no more than two pairs a fingerprint, however many are near it
-    near, lesser = F.struct("distance", "b"), F.when(F.col("b") < F.col("a"), F.struct("distance", "b"))
-    best = found.groupBy("a").agg(F.array(F.min(near)["b"], F.min(lesser)["b"]).alias("bs"))
-    chosen = best.select("a", F.explode(F.array_distinct("bs")).alias("b")).where("b is not null")
-    pairs = keep(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = keep(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     named = nodes.select("print", "low.did", "low.mark")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct().join(named, "print")
     pack, unpack = F.arrow_udf(packed, "binary"), F.arrow_udf(unpacked, "binary")
