@@ -14,7 +14,6 @@ and their guests go to each block, so a task holds one block of owners and a bat
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate, combinations
@@ -32,6 +31,8 @@ from .textscan import by_bytes, mix, packed, unpacked
 
 #: Owners of one block.
 BLOCK = 4096
+#: Shingles of a block's owners, where sets are compared.
+SHINGLES = 1 << 22
 #: Most anchors with several blocks whose counts are broadcast (16 bytes each); beyond it they are joined.
 MOST_HOT = 200_000
 #: The generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, its length and radius.
@@ -153,15 +154,16 @@ def placer(tables: list[tuple[int, ...]], excess: int, owners: bool):
     return run
 
 
-def comparer(most: int, forest: bool):
-    """A mapInArrow function over rows sorted by (anchor, block, guest): to links (a, b) of fingerprints at most ``most`` bits apart.
+def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    a, b = zip(*dict.fromkeys(found), strict=True) if found else ((), ())
+    return pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    ``forest``: links that connect whatever matches. Else a guest's nearest owner and its nearest lesser one, with their distances, for links that are
-    verified later: by its lesser one every fingerprint that has any leads on to the least of its group.
-    """
 
-    def matches(owners: np.ndarray, guests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(guest, owner, distance), sorted by guest."""
+def comparer(most: int):
+    """A mapInArrow function over rows sorted by (anchor, block, guest): to links (a, b) that connect all fingerprints at most ``most`` bits apart."""
+
+    def matches(owners: np.ndarray, guests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(guest, owner), sorted by guest."""
         found = []
         step = max(1, (1 << 20) // max(1, len(owners)))
         for k in range(0, len(guests), step):
@@ -170,11 +172,11 @@ def comparer(most: int, forest: bool):
             for w in range(1, owners.shape[1]):
                 far += np.bitwise_count(part[:, None, w] ^ owners[None, :, w])
             g, o = np.nonzero(far <= most)
-            found.append((g + k, o, far[g, o]))
+            found.append((g + k, o))
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
-    def connected(owners: np.ndarray, sets: np.ndarray, guests: np.ndarray) -> list[tuple[bytes, bytes, int]]:
-        guest, owner, _ = matches(owners, guests)
+    def connected(owners: np.ndarray, sets: np.ndarray, guests: np.ndarray) -> list[tuple[bytes, bytes]]:
+        guest, owner = matches(owners, guests)
         out = []
         cuts = np.flatnonzero(np.diff(guest, prepend=-1, append=-1)) if len(guest) else []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -183,36 +185,11 @@ def comparer(most: int, forest: bool):
             for head in heads.tolist():
                 y = owners[head].tobytes()
                 if x != y:
-                    out.append((x, y, 0))
+                    out.append((x, y))
             for head in heads[1:].tolist():
                 sets[sets == head] = heads[0]
         return out
 
-    def nearest(owners: np.ndarray, order: np.ndarray, guests: np.ndarray) -> list[tuple[bytes, bytes, int]]:
-        """``order``: the owners' indexes in order of their bytes."""
-        guest, owner, far = matches(owners, guests)
-        ranked = [owners[o].tobytes() for o in order.tolist()]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        seen = np.unique(guest)
-        below = np.zeros(len(guests), np.int64)
-        below[seen] = [bisect_left(ranked, guests[g].tobytes()) for g in seen.tolist()]
-        place = rank[owner]
-        # a fingerprint stands at its own place among the owners, if it is one of them
-        own = (place == below[guest]) & (owners[owner] == guests[guest]).all(axis=1)
-        guest, place, far = guest[~own], place[~own], far[~own]
-        if not len(guest):
-            return []
-        heads = np.flatnonzero(np.diff(guest, prepend=-1))
-        key = far.astype(np.int64) * len(order) + place
-        none = np.int64(1) << 40
-        found = set()
-        near, lesser = np.minimum.reduceat(key, heads), np.minimum.reduceat(np.where(place < below[guest], key, none), heads)
-        at = guest[heads]
-        for value, some in ((near, near < none), (lesser, lesser < none)):  # an owner and its distance, packed
-            found |= set(zip(at[some].tolist(), (value[some] % len(order)).tolist(), (value[some] // len(order)).tolist(), strict=True))
-        return [(guests[g].tobytes(), ranked[r], d) for g, r, d in found]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, sets = None, [], None
         for batch in batches:
@@ -222,7 +199,7 @@ def comparer(most: int, forest: bool):
             prints = _prints(batch.column("print"))
             heads = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1])))
             ends = np.append(heads[1:], len(anchor))
-            out: list[tuple[bytes, bytes, int]] = []
+            out: list[tuple[bytes, bytes]] = []
             # a group without owners begins with a guest; only a group that goes on from the batch before may
             busy = ~guest[heads]
             busy[0] = True
@@ -237,19 +214,16 @@ def comparer(most: int, forest: bool):
                     if sets is None:
                         held = [np.concatenate(held)]
                         sets = np.arange(len(held[0]))
-                        if not forest:
-                            sets = np.array(sorted(sets.tolist(), key=lambda o: held[0][o].tobytes()))
-                    out += (connected if forest else nearest)(held[0], sets, prints[cut:b])
+                    out += connected(held[0], sets, prints[cut:b])
             if ends[busy][-1] != len(anchor):
                 at, held, sets = (anchor[-1], block[-1]), [], None
-            a, b, far = zip(*dict.fromkeys(out), strict=True) if out else ((), (), ())
-            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(far, pa.int32())], ["a", "b", "distance"])
+            yield _pairs(out)
 
     return run
 
 
-def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: int, forest: bool) -> DataFrame:
-    """(a, b, distance): links between the distinct fingerprints of ``prints``, a table with the column print."""
+def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: int) -> DataFrame:
+    """(a, b): links between the distinct fingerprints of ``prints``, a table with the column print."""
     own = prints.mapInArrow(placer(tables, excess, True), "anchor long, print binary, owner boolean")
     load = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
     hot = keep(load.select("anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
@@ -265,7 +239,7 @@ def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: i
     both = F.concat(F.array(F.struct(mine.alias("block"), F.lit(False).alias("guest"))), guests)
     placed = rows.select("anchor", "print", F.explode(F.when(F.col("owner"), both).otherwise(guests)).alias("to")).select("anchor", "to.block", "to.guest", "print")
     sorted_ = placed.repartition("anchor", "block").sortWithinPartitions("anchor", "block", "guest")
-    return sorted_.mapInArrow(comparer(most, forest), "a binary, b binary, distance int")
+    return sorted_.mapInArrow(comparer(most), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, threshold: int = 2, seed: int = 42, words: int = 1) -> DataFrame:
@@ -281,7 +255,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
     printed = keep(rows.mapInArrow(printer(size, seed, 1, False), f"id {kind}, print binary"))
     nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
-    found = links(nodes.select("print"), [tuple(range(words))], threshold, threshold, True)
+    found = links(nodes.select("print"), [tuple(range(words))], threshold, threshold)
     joined = components(found, "a", "b")
     low = joined.join(nodes, joined["node"] == nodes["print"]).groupBy("root").agg(F.min("low").alias("least"))
     least = joined.join(low, "root").select(F.col("node").alias("print"), "least")
@@ -307,22 +281,126 @@ def angle_bits(similarity: float, bits: int) -> int:
 
 
 def shingle_sets(size: int, seed: int):
-    """A mapInArrow function: (did, mark, packed) to (did, mark, shingles), the distinct hashes."""
+    """A mapInArrow function: (did, mark, packed) to (did, mark, shingles), the distinct hashes in order, 8 bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "packed", 1 << 20):
-            sets = [np.unique(shingle_hashes(raw.as_py(), size, seed)).view(np.int64) for raw in unpacked(batch.column("packed"))]
-            yield pa.record_batch([batch.column("did"), batch.column("mark"), pa.array(sets, pa.list_(pa.int64()))], ["did", "mark", "shingles"])
+            sets = [np.unique(shingle_hashes(raw.as_py(), size, seed)).tobytes() for raw in unpacked(batch.column("packed"))]
+            yield pa.record_batch([batch.column("did"), batch.column("mark"), pa.array(sets, pa.binary())], ["did", "mark", "shingles"])
+
+    return run
+
+
+class Owners:
+    """The owners of a block, those nearest to the middle of all first, and which of them are connected by similar sets."""
+
+    def __init__(self, prints: np.ndarray, sets: list[np.ndarray], most: int, similarity: float):
+        ones = np.unpackbits(prints.view(np.uint8), axis=1)
+        order = np.argsort((ones != (2 * ones.sum(axis=0) > len(ones))).sum(axis=1), kind="stable")
+        self.prints, self.sets, self.most, self.similarity = prints[order], [sets[k] for k in order.tolist()], most, similarity
+        self.sizes = np.array([len(x) for x in self.sets])
+        self.group, self.met = np.arange(len(order)), np.zeros(len(order), np.int64)
+
+    def linked(self, mark: np.ndarray, one: np.ndarray, upto: int) -> list[int]:
+        """Of the first ``upto`` owners, one of each connected set that holds any within reach and similar to ``one``; these sets become one.
+
+        Every owner within reach is verified unless its set is linked already. Those that met most others come first, as an original does among its copies.
+        """
+        sizes, n = self.sizes[:upto], len(one)
+        far = np.bitwise_count(self.prints[:upto] ^ mark).sum(axis=1, dtype=np.int64)
+        left = np.flatnonzero((far <= self.most) & (np.minimum(sizes, n) >= self.similarity * np.maximum(sizes, n)) & (sizes > 0))
+        left = left[np.lexsort((far[left], -self.met[left]))]
+        heads: dict[int, int] = {}
+        step = 16
+        while len(left):
+            part, left = left[:step], left[step:]
+            common = sharing(one, [self.sets[o] for o in part.tolist()])
+            for o in part[common >= self.similarity * (n + sizes[part] - common)].tolist():
+                self.met[o] += 1
+                heads.setdefault(int(self.group[o]), o)
+            left = left[~np.isin(self.group[left], list(heads))]
+            step *= 4
+        if len(heads) > 1:
+            self.group[np.isin(self.group, list(heads))] = min(heads)
+        return list(heads.values())
+
+    def among(self) -> list[tuple[bytes, bytes]]:
+        out = []
+        for k, one in enumerate(self.sets):
+            found = self.linked(self.prints[k], one, k)
+            if found:
+                self.group[k], self.met[k] = self.group[found[0]], len(found)
+            out += [(self.prints[k].tobytes(), self.prints[o].tobytes()) for o in found]
+        return out
+
+    def of(self, mark: np.ndarray, one: np.ndarray) -> list[tuple[bytes, bytes]]:
+        return [(mark.tobytes(), self.prints[o].tobytes()) for o in self.linked(mark, one, len(self.sets))]
+
+
+def sharing(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members of the sorted set ``one`` each of the others has; none is empty."""
+    sizes = np.array([len(x) for x in others])
+    members = np.concatenate(others)
+    same = one[np.minimum(np.searchsorted(one, members), len(one) - 1)] == members
+    return np.add.reduceat(same.astype(np.int64), np.cumsum(sizes) - sizes)
+
+
+def verifier(most: int, similarity: float):
+    """A mapInArrow function over rows sorted by (root, block, guest): to links (a, b) that connect all fingerprints of a block whose sets are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, owners = None, [], None
+
+        def whole() -> Owners:
+            return Owners(np.stack([x for x, _ in held]), [x for _, x in held], most, similarity)
+
+        for batch in by_bytes(batches, "shingles"):
+            out: list[tuple[bytes, bytes]] = []
+            prints = _prints(batch.column("print"))
+            for k, (root, block, guest, raw) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "block", "guest", "shingles")), strict=True)):
+                if (root, block) != at:
+                    if held and owners is None:
+                        out += whole().among()
+                    at, held, owners = (root, block), [], None
+                one = np.frombuffer(raw, np.uint64)
+                if not guest:
+                    held.append((prints[k], one))
+                elif held:
+                    if owners is None:
+                        owners = whole()
+                        out += owners.among()
+                    out += owners.of(prints[k], one)
+            yield _pairs(out)
+        if held and owners is None:
+            yield _pairs(whole().among())
 
     return run
 
 
+def similar_links(sets: DataFrame, most: int, similarity: float) -> DataFrame:
+    """(a, b): links that connect the fingerprints of each root whose sets are similar; ``sets`` has root, print and shingles.
+
+    A root with more than BLOCK fingerprints or SHINGLES shingles is cut into blocks of owners, and guests go to half of the other blocks, so that each two blocks meet.
+    """
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("shingles")) / (8 * SHINGLES))).cast("int")
+    hot = keep(sets.groupBy("root").agg(parts.alias("blocks")).where("blocks > 1"))
+    some = hot.limit(MOST_HOT + 1).count()
+    rows = sets.join(F.broadcast(hot) if some <= MOST_HOT else hot, "root", "left") if some else sets.withColumn("blocks", F.lit(1))
+    blocks = F.coalesce("blocks", F.lit(1))
+    mine = F.pmod(F.hash("print"), blocks)
+    others = F.transform(F.sequence(F.lit(1), F.floor(blocks / 2).cast("int")), lambda k: F.struct(F.pmod(mine + k, blocks).alias("block"), F.lit(True).alias("guest")))
+    own = F.array(F.struct(mine.alias("block"), F.lit(False).alias("guest")))
+    placed = rows.select("root", "print", "shingles", F.explode(F.when(blocks > 1, F.concat(own, others)).otherwise(own)).alias("to"))
+    sorted_ = placed.select("root", "to.block", "to.guest", "print", "shingles").repartition("root", "block").sortWithinPartitions("root", "block", "guest")
+    return sorted_.mapInArrow(verifier(most, similarity), "a binary, b binary")
+
+
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each group of near copies: the one with the least key.
 
     Two texts are near copies if their sets of ``size``-word shingles have a Jaccard similarity of ``similarity`` at least; groups are connected sets.
-    Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; at each anchor a guest is paired
-    with the nearest owner that it may be similar to and the nearest lesser one, and all pairs are verified on the whole shingle sets. Texts with one fingerprint, copies above
+    Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; those that may be similar are connected by spanning forests. Within
+    each connected set every pair that may be similar is verified on the whole shingle sets, unless other verified pairs connect it. Texts with one fingerprint, copies above
     all, are one node. Rows that repeat a key and text count as copies; a null key is after all others; texts without words are copies of each other.
     An empty table gives no rows.
     """
@@ -334,17 +412,13 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     printed = keep(rows.mapInArrow(printer(size, seed, words, True), f"id {kind}, print binary"))
     nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
     most = angle_bits(similarity, 64 * words)
-    found = links(nodes.select("print"), [(k,) for k in range(TABLES)], EXCESS, most, False)
-    pairs = keep(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    named = nodes.select("print", "low.did", "low.mark")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct().join(named, "print")
+    found = links(nodes.select("print"), [(k,) for k in range(TABLES)], EXCESS, most)
+    near = components(found, "a", "b").withColumnRenamed("node", "print")
+    wanted = keep(near.join(nodes.select("print", "low.did", "low.mark"), "print"))
     pack, unpack = F.arrow_udf(packed, "binary"), F.arrow_udf(unpacked, "binary")
     plain = rows.select("id.did", "id.mark", pack("raw").alias("packed")).join(wanted.select("did", "mark"), ["did", "mark"], "left_semi")
-    sets = keep(plain.mapInArrow(shingle_sets(size, seed), "did long, mark long, shingles array<long>").dropDuplicates(["did", "mark"]).join(wanted, ["did", "mark"]).select("print", "shingles"))
-    both = pairs.join(sets.withColumnsRenamed({"print": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"print": "b", "shingles": "y"}), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    similar = both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
-    joined = components(similar, "a", "b")
+    sets = keep(plain.mapInArrow(shingle_sets(size, seed), "did long, mark long, shingles binary").dropDuplicates(["did", "mark"]).join(wanted, ["did", "mark"]).select("root", "print", "shingles"))
+    joined = components(similar_links(sets, most, similarity), "a", "b")
     low = joined.join(nodes, joined["node"] == nodes["print"]).groupBy("root").agg(F.min("low").alias("least"))
     later = joined.join(low, "root").select(F.col("node").alias("print"), "least")
     kept = nodes.join(later, "print", "left").where("least is null or least = low").select("low.did", "low.mark")

@@ -95,3 +95,34 @@ def test_components(spark):
                 todo += near[x]
     got = {x.node: x.root for x in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert got == {n: r for n, r in want.items() if near[n] - {n}}
+
+
+@pytest.mark.parametrize("block", [4096, 400])
+def test_copies_of_an_original_among_nearer_siblings(spark, monkeypatch, block):
+    """Copies that are near the original (0.82) and not each other (0.76 to 0.8): each is to be verified with the original, past all siblings that happen to be nearer."""
+    monkeypatch.setattr(S, "BLOCK", block)
+    r = random.Random(6)
+    original = [f"w{r.randrange(10**6)}" for _ in range(400)]
+    texts = [original]
+    for _ in range(1200):
+        w = list(original)
+        for at in [*range(5, 35, 6), *r.sample(range(35, 390, 6), 3)]:
+            w[at] = f"w{r.randrange(10**6)}"
+        texts.append(w)
+    docs = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
+    grams = {g: k for k, g in enumerate(sorted(set().union(*sets)))}
+    x = np.zeros((len(sets), len(grams)), np.float32)
+    for k, found in enumerate(sets):
+        x[k, [grams[g] for g in found]] = 1
+    common, size = x @ x.T, x.sum(axis=1)
+    near = common >= 0.8 * (size[:, None] + size[None, :] - common)
+    seen, todo = {0}, [0]
+    while todo:
+        new = set(np.flatnonzero(near[todo.pop()]).tolist()) - seen
+        seen |= new
+        todo += new
+    assert len(seen) == len(docs) and near.mean() < 0.05
+    r.shuffle(docs)
+    kept = S.without_near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [k.doc_id for k in kept] == [0]
