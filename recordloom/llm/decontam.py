@@ -2,8 +2,8 @@
 
 A seed is a fixed mask over consecutive tokens; positions with 0 are ignored. Equal hashes under a mask bring a place of a
 document and a place of a benchmark item together although tokens at the ignored positions differ. Around each hit the two
-are compared along that diagonal: the run of tokens that scores best with +1 for an equal and PENALTY for a substituted token, and all that the
-document has of the item there. Either is a leak if it is long enough and similar enough.
+are compared along that diagonal. Any run of tokens there is a leak if it is long enough and similar enough; sums of equal tokens less SIMILARITY find whether
+there is one, exactly.
 
 The benchmark is the stated query set: it is read in blocks of bounded size, each block is indexed and sent to the tasks, and all documents pass by.
 So nothing of the corpus is shuffled, whatever its size or skew.
@@ -23,7 +23,10 @@ from .textscan import by_bytes, mix, odd_powers, spans, word_hashes, words
 #: The masks, each of five positions.
 MASKS = ("11111", "1101011", "11010011", "101000111")
 #: A leak has so many tokens at least (or the whole item, if that is shorter), of which so many are equal.
-OVERLAP, SIMILARITY, PENALTY = 13, 0.8, -2
+OVERLAP, PART, WHOLE = 13, 4, 5
+SIMILARITY = PART / WHOLE
+#: Of a substituted token in the best-scoring run, which a test still looks for; the search doesn't use it.
+PENALTY = -2
 #: Bytes of benchmark text indexed at a time.
 BLOCK_BYTES = 16 << 20
 
@@ -98,19 +101,31 @@ class Index:
             low = max(int(self.first[i]), int(first[d]) - shift)
             high = min(int(self.first[i + 1]), int(first[d + 1]) - shift)
             same = tokens[low + shift : high + shift] == self.tokens[low:high]
-            for a, b in (best_run(same), (0, len(same))):
-                equal, size = int(same[a:b].sum()), b - a
-                if size >= min(OVERLAP, int(self.first[i + 1] - self.first[i])) and equal >= SIMILARITY * size:
-                    found[d, i] = max(found.get((d, i), (0, 0, 0)), (equal, size, low + shift + a - int(first[d])))
+            run = fullest_run(same, min(OVERLAP, int(self.first[i + 1] - self.first[i])))
+            if run:
+                a, b = run
+                found[d, i] = max(found.get((d, i), (0, 0, 0)), (int(same[a:b].sum()), b - a, low + shift + a - int(first[d])))
         return found
 
 
-def best_run(same: np.ndarray) -> tuple[int, int]:
-    """The run with the largest score, the earliest of equals."""
-    score = np.concatenate([[0], np.cumsum(np.where(same, 1, PENALTY))])
-    lowest = np.minimum.accumulate(score)
-    b = int(np.argmax(score - lowest))
-    return int(np.argmin(score[: b + 1])), b
+def fullest_run(same: np.ndarray, least: int) -> tuple[int, int] | None:
+    """Of the runs of ``least`` tokens or more with SIMILARITY equal, the one with most equal tokens, the earliest of those; without other tokens at its ends, as far as ``least`` allows."""
+    if len(same) < least:
+        return None
+    equal = np.concatenate([[0], np.cumsum(same)])
+    over = WHOLE * equal - PART * np.arange(len(equal))
+    # for each end the earliest start from which enough are equal: no later one has more of them
+    start = np.searchsorted(-np.minimum.accumulate(over), -over, "left")
+    found = np.where(np.arange(len(equal)) - start >= least, equal - equal[start], -1)
+    b = int(np.argmax(found))
+    if found[b] < 0:
+        return None
+    a = int(start[b])
+    while b - a > least and not same[a]:
+        a += 1
+    while b - a > least and not same[b - 1]:
+        b -= 1
+    return a, b
 
 
 def tokenize(raw: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +167,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """(key, item, matched_tokens, overlap_tokens, start_token): a row for each document and each benchmark item that leaked into it.
 
     Tokens are compared in lower case. A leak is a run (see above) of OVERLAP tokens at least, or of the whole item if that is shorter, of which SIMILARITY are equal at
-    their places; of several runs the one with most equal tokens is told. A null or empty text, in either table, has no leak. Repeated rows are told each.
+    their places; of several runs the one with most equal tokens is told, without other tokens at its ends unless it would be too short. A null or empty text, in either table, has no leak. Repeated rows are told each.
     Null keys are kept. Extra columns are not read. If a table is empty there are no rows.
     """
     spark = docs.sparkSession

@@ -76,3 +76,44 @@ def test_substitutions_are_found():
         import pyarrow as pa
 
         assert index.leaks(pa.array([b"x y", ("z " * r.randrange(4) + " ".join(leak) + " z").encode()], pa.binary())).keys() == {(1, 0)}
+
+
+def any_run(a, b):
+    """Is there a diagonal with any run that is long and similar enough?"""
+    for shift in range(-len(b) + 1, len(a)):
+        low, high = max(0, -shift), min(len(b), len(a) - shift)
+        same = [a[k + shift] == b[k] for k in range(low, high)]
+        for x in range(len(same)):
+            for y in range(x + 1, len(same) + 1):
+                if y - x >= min(D.OVERLAP, len(b)) and 5 * sum(same[x:y]) >= 4 * (y - x):
+                    return True
+    return False
+
+
+def leaked(document, item):
+    import pyarrow as pa
+
+    return D.Index.of([7], [" ".join(item).encode()]).leaks(pa.array([" ".join(document).encode()], pa.binary())).get((0, 0))
+
+
+def test_any_run_is_a_leak():
+    """Also one that doesn't score best: ten equal tokens, two substituted, three equal."""
+    item = [f"t{k}" for k in range(38)]
+    leak = item[10:20] + ["x", "y"] + item[22:25]
+    assert leaked(["a", "b", *leak, "c"], item) == (13, 15, 2)
+    # a shorter run without a substituted token scores more than the longer one
+    assert leaked(item[:10] + ["x"] * 11 + item[21:25] + ["x"] + item[26:30] + ["x"] + item[31:35], item) == (12, 14, 21)
+    # runs that nearly are: 13 tokens with ten equal, twelve in all
+    assert leaked(item[:5] + ["x"] * 3 + item[8:13], item) is None and leaked(item[:10], item[:38]) is None
+    r = random.Random(8)
+    found = 0
+    for _ in range(400):
+        item = [f"t{r.randrange(10**6)}" for _ in range(r.randrange(13, 40))]
+        low = r.randrange(len(item) - 12)
+        leak = item[low : low + r.randrange(10, 40)]
+        share = r.choice([0.1, 0.2, 0.25, 0.3])
+        document = ["z"] * r.randrange(4) + [w if r.random() > share else "other" for w in leak] + ["z"] * r.randrange(4)
+        got = leaked(document, item)
+        assert bool(got) == any_run(document, item)
+        found += bool(got)
+    assert 100 < found < 350
