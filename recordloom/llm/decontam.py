@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A seed is a fixed mask over consecutive tokens; positions with 0 are ignored. Equal hashes under a mask bring a place of a
-document and a place of a benchmark item together although tokens at the ignored positions differ. Around each hit the two
+document and a place of a benchmark item together although tokens at the ignored positions differ. The masks meet every run of 13 tokens or more with
+80 % equal, and the short ones every whole item of four to twelve tokens as similar; shorter items are sought as a whole. Around each hit the two
 are compared along that diagonal. Any run of tokens there is a leak if it is long enough and similar enough; sums of equal tokens less SIMILARITY find whether
 there is one, exactly.
 
@@ -22,6 +23,8 @@ from .textscan import by_bytes, mix, odd_powers, spans, word_hashes, words
 
 #: The masks, each of five positions.
 MASKS = ("11111", "1101011", "11010011", "101000111")
+#: Of four positions, for items with fewer tokens than OVERLAP: with the masks above, no such item with SIMILARITY equal is without a hit.
+SHORT_MASKS = ("1111", "11011", "10111", "11101")
 #: A leak has so many tokens at least (or the whole item, if that is shorter), of which so many are equal.
 OVERLAP, PART, WHOLE = 13, 4, 5
 SIMILARITY = PART / WHOLE
@@ -50,15 +53,17 @@ class Index:
         raw = pa.array(texts, pa.binary())
         tokens, first = tokenize(raw)
         size = np.diff(first)
-        span = min(map(len, MASKS))
+        span = min(map(len, SHORT_MASKS))
         # an item with fewer tokens than the shortest mask is sought as a whole
-        masks = [*MASKS, *sorted({"1" * int(n) for n in size if 0 < n < span})]
+        masks = [*MASKS, *(SHORT_MASKS if ((span <= size) & (size < OVERLAP)).any() else ()), *sorted({"1" * int(n) for n in size if 0 < n < span})]
         hashes, places, present = [], [], []
         for m in masks:
             h = seed_hashes(tokens, m)
             item = np.repeat(np.arange(len(size)), size)[: len(h)]
             fits = np.arange(len(h)) + len(m) <= first[1:][item]
-            if m not in MASKS:
+            if m in SHORT_MASKS:
+                fits &= size[item] < OVERLAP
+            elif m not in MASKS:
                 fits &= size[item] == len(m)
             at = np.flatnonzero(fits)
             order = np.argsort(h[at], kind="stable")
