@@ -31,6 +31,8 @@ from .textscan import by_bytes, mix, packed, unpacked
 
 #: Owners of one block.
 BLOCK = 4096
+#: Sets of so many shingles at most are found exactly: their fingerprints differ by more bits than those of long texts.
+FEW = 25
 #: Shingles of a block's owners, where sets are compared.
 SHINGLES = 1 << 22
 #: Most anchors with several blocks whose counts are broadcast (16 bytes each); beyond it they are joined.
@@ -122,16 +124,27 @@ def fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def printer(size: int, seed: int, words: int, unique: bool):
-    """A mapInArrow function: (id, raw) to (id, print), print being 8 * words bytes."""
+def printer(size: int, seed: int, words: int, similarity: float | None = None):
+    """A mapInArrow function: (id, raw) to (id, print), print being 8 * words bytes.
+
+    With a similarity, prints are of distinct shingles, and a third column, few, has the least hashes of each set of FEW shingles at most: so many that two
+    such sets, if they are as similar, share one of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "raw"):
-            out = []
+            out, few = [], []
             for raw in batch.column("raw"):
                 h = shingle_hashes(raw.as_py(), size, seed)
-                out.append(fingerprint(np.unique(h) if unique else h, words).tobytes())
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["id", "print"])
+                if similarity is not None:
+                    h = np.unique(h)
+                    few.append(h[: len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1].view(np.int64) if len(h) <= FEW else None)
+                out.append(fingerprint(h, words).tobytes())
+            prints = [batch.column(0), pa.array(out, pa.binary())]
+            if similarity is None:
+                yield pa.record_batch(prints, ["id", "print"])
+            else:
+                yield pa.record_batch([*prints, pa.array(few, pa.list_(pa.int64()))], ["id", "print", "few"])
 
     return run
 
@@ -253,7 +266,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
-    printed = keep(rows.mapInArrow(printer(size, seed, 1, False), f"id {kind}, print binary"))
+    printed = keep(rows.mapInArrow(printer(size, seed, 1), f"id {kind}, print binary"))
     nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
     found = links(nodes.select("print"), [tuple(range(words))], threshold, threshold)
     joined = components(found, "a", "b")
@@ -271,6 +284,7 @@ def _big_endian(column: str):
 
 #: Tables of the search by similarity, one code word each, and the excess within which guests are placed. Two texts with a similarity of 0.8 differ in about
 #: 15 of 100 bits; they meet in a table with a chance of about 0.4, and so in one of eleven with 0.99; with a similarity of 0.9, in 0.999.
+#: This holds for long texts. Sets of FEW shingles at most don't depend on it.
 TABLES, EXCESS = 11, 1
 
 
@@ -308,7 +322,8 @@ class Owners:
         """
         sizes, n = self.sizes[:upto], len(one)
         far = np.bitwise_count(self.prints[:upto] ^ mark).sum(axis=1, dtype=np.int64)
-        left = np.flatnonzero((far <= self.most) & (np.minimum(sizes, n) >= self.similarity * np.maximum(sizes, n)) & (sizes > 0))
+        near = (far <= self.most) | ((sizes <= FEW) & (n <= FEW))
+        left = np.flatnonzero(near & (np.minimum(sizes, n) >= self.similarity * np.maximum(sizes, n)) & (sizes > 0))
         left = left[np.lexsort((far[left], -self.met[left]))]
         heads: dict[int, int] = {}
         step = 16
@@ -399,7 +414,8 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """The rows of ``docs``, all columns, with one document of each group of near copies: the one with the least key.
 
     Two texts are near copies if their sets of ``size``-word shingles have a Jaccard similarity of ``similarity`` at least; groups are connected sets.
-    Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; those that may be similar are connected by spanning forests. Within
+    Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; those that may be similar are connected by spanning forests, and so are sets of FEW shingles at most that share one of their
+    least hashes, without which they can't be similar. Within
     each connected set every pair that may be similar is verified on the whole shingle sets, unless other verified pairs connect it. Texts with one fingerprint, copies above
     all, are one node. Rows that repeat a key and text count as copies; a null key is after all others; texts without words are copies of each other.
     An empty table gives no rows.
@@ -409,11 +425,14 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     identity = [F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1)).alias("_did"), F.xxhash64(raw).alias("_mark")]
     rows = docs.select(F.struct(*(c.alias(n) for c, n in zip(identity, ("did", "mark"), strict=True))).alias("id"), raw.alias("raw"))
     kind = "struct<did: long, mark: long>"
-    printed = keep(rows.mapInArrow(printer(size, seed, words, True), f"id {kind}, print binary"))
+    printed = keep(rows.mapInArrow(printer(size, seed, words, similarity), f"id {kind}, print binary, few array<long>"))
     nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
     most = angle_bits(similarity, 64 * words)
     found = links(nodes.select("print"), [(k,) for k in range(TABLES)], EXCESS, most)
-    near = components(found, "a", "b").withColumnRenamed("node", "print")
+    short = printed.select("print", F.explode("few").alias("shingle")).distinct()
+    least = short.groupBy("shingle").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low < high").select("shingle", "low")
+    sharing_one = apart(short, least, ["shingle"]).where("print <> low").select(F.col("print").alias("a"), F.col("low").alias("b"))
+    near = components(found.unionByName(sharing_one), "a", "b").withColumnRenamed("node", "print")
     wanted = keep(near.join(nodes.select("print", "low.did", "low.mark"), "print"))
     pack, unpack = F.arrow_udf(packed, "binary"), F.arrow_udf(unpacked, "binary")
     plain = rows.select("id.did", "id.mark", pack("raw").alias("packed")).join(wanted.select("did", "mark"), ["did", "mark"], "left_semi")

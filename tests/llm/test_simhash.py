@@ -126,3 +126,16 @@ def test_copies_of_an_original_among_nearer_siblings(spark, monkeypatch, block):
     r.shuffle(docs)
     kept = S.without_near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert [k.doc_id for k in kept] == [0]
+
+
+@pytest.mark.parametrize("words,more", [(8, 1), (11, 1), (26, 2)])
+def test_short_texts_are_found_exactly(spark, words, more):
+    """Texts of few shingles and the same with some words more: similarity 4 / 5, 7 / 8 and 22 / 24."""
+    r = random.Random(words)
+    docs = []
+    for k in range(500):
+        w = [f"w{r.randrange(10**6)}" for _ in range(words + more)]
+        docs += [(2 * k, " ".join(w[:words])), (2 * k + 1, " ".join(w))]
+    r.shuffle(docs)
+    kept = S.without_near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(x.doc_id for x in kept) == list(range(0, 1000, 2))
