@@ -1,4 +1,7 @@
-"""Substring deduplication by relative Lempel-Ziv parsing, in words.
+"""Substring deduplication by hashes of anchored segments and of windows, in words.
+
+This stands in place of relative Lempel-Ziv parsing: nothing is parsed greedily and no match is extended, as that needs an index of all earlier text in
+each task. "Factor" and "block" below are names for segments.
 
 The reference is the corpus itself. It is cut at content-defined places into blocks (see ``anchors``), each indexed by
 its anchor, and of equal blocks the earliest stands for all. A document is factored against every block that its anchors
