@@ -7,14 +7,13 @@ Consecutive windows with one anchor form a *segment*, the units they cover. Two
 * a window has equals elsewhere only if its anchor's hash has, and anchors are few (about 2 per width - gram + 2 units);
 * segments of equal content have all windows in common, so only segments that share an anchor and differ need a closer look.
 
-A segment row is (anchor, content, did, place): two hashes, the document and ``place``, a long that packs the first
-window's index (32 bits), the number of windows (15 bits) and 16 bits of a hash of the text. These bits
-keep apart rows that repeat a document id with another text.
+A segment row is (anchor, content, did, tag, place): two hashes, the document and ``place``, a long that packs the first
+window's index (48 bits) and the number of windows (15 bits). A row is told apart by (did, tag): the tag is 0, but for rows that share
+an id (or have none) and differ in their texts, which ``texts`` numbers.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,10 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import keep
-from .textscan import SLICE_BYTES, by_bytes, leftmost_minima, mix, spans
+from ..operators.spread import apart, numbered
+from .textscan import SLICE_BYTES, by_bytes, leftmost_minima, mix, packed, spans
 
 #: A null document id counts as this one, before all others.
 NO_ID = -(2**63)
+#: Bits of ``place`` that hold the number of windows.
+MANY_BITS = 15
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 _powers: dict[str, np.ndarray] = {}
 
@@ -86,56 +88,69 @@ def segments(units: np.ndarray, first: np.ndarray, width: int, gram: int) -> tup
     return doc, start - first[doc], many, grams[least[start]], rolling.runs(start, start + many - 1 + width)
 
 
-def text_tags(raw: list[bytes]) -> np.ndarray:
-    return np.fromiter((zlib.crc32(r) & 0xFFFF for r in raw), np.int64, len(raw))
-
-
-def pack(start: np.ndarray, many: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    return (start.astype(np.int64) << 31) | (many.astype(np.int64) << 16) | tag
+def pack(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    return (start.astype(np.int64) << MANY_BITS) | many.astype(np.int64)
 
 
 def start_of(place: Column) -> Column:
-    return F.shiftright(place, 31)
+    return F.shiftright(place, MANY_BITS)
 
 
 def windows_of(place: Column) -> Column:
-    return F.shiftright(place, 16).bitwiseAND(0x7FFF)
-
-
-def tag_of(place: Column) -> Column:
-    return place.bitwiseAND(0xFFFF)
+    return place.bitwiseAND((1 << MANY_BITS) - 1)
 
 
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def scanner(units: Units, width: int, gram: int, limit: int = SLICE_BYTES):
-    """A mapInArrow function: (did, raw binary) to segment rows. ``units``: bytes and offsets to unit hashes and first-unit indexes."""
+    """A mapInArrow function: (did, tag, raw binary) to segment rows. ``units``: bytes and offsets to unit hashes and first-unit indexes."""
+    if width - gram + 1 >= 1 << MANY_BITS:
+        raise ValueError(f"a window of {width} is too wide: a segment's windows are counted in {MANY_BITS} bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "raw", limit):
-            raw = batch.column("raw")
-            hashes, first = units(*spans(raw))
+            hashes, first = units(*spans(batch.column("raw")))
             doc, start, many, anchor, content = segments(hashes, first, width, gram)
-            tags = text_tags([r.as_py() for r in raw])
-            ids = batch.column("did").to_numpy(zero_copy_only=False)
-            yield pa.record_batch([anchor.view(np.int64), content.view(np.int64), ids[doc], pack(start, many, tags[doc])], ["anchor", "content", "did", "place"])
+            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tag"))
+            yield pa.record_batch([anchor.view(np.int64), content.view(np.int64), ids[doc], tags[doc], pack(start, many)], ["anchor", "content", "did", "tag", "place"])
 
     return run
 
 
-SEGMENT = "anchor long, content long, did long, place long"
+SEGMENT = "anchor long, content long, did long, tag long, place long"
+
+
+def identity(docs: DataFrame, key: str) -> Column:
+    """The key as a long that is never null. Other keys than integers are an error, told before anything runs."""
+    kind = docs.schema[key].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"{key} is {kind}; the order of documents needs an integer key")
+    return F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))
+
 
+def texts(docs: DataFrame, key: str, text: str, *others: Column) -> tuple[DataFrame, bool]:
+    """(did, tag, raw, others): an id that is never null, a number that tells the texts of one id apart, and the text's bytes (null: none). Also, whether there are ids with several texts.
 
-def texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(did, raw): an id that is never null, and the text's bytes (null: none)."""
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("did"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
+    Ids with one text each, the usual case, have the tag 0; whether there are others is told by one aggregate over digests of 128 bits. The texts of a repeated
+    or null id are numbered in order of their digests, without a task for an id; rows that repeat id and text share a tag.
+    """
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    rows = docs.select(identity(docs, key).alias("did"), raw.alias("raw"), *others)
+    named = [c for c in rows.columns if c not in ("did", "raw")]
+    digests = rows.select("did", F.struct(F.xxhash64("raw").alias("one"), F.xxhash64(F.lit(1), "raw").alias("two")).alias("digest"))
+    several = keep(digests.groupBy("did").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("did"))
+    if several.isEmpty():
+        return rows.select("did", F.lit(0).cast("long").alias("tag"), "raw", *named), False
+    distinct = apart(digests, several, ["did"]).distinct().select("did", "digest.one", "digest.two")
+    tags = numbered(distinct, ["did"], [F.col("one"), F.col("two")], "tag").select("did", "one", "two", "tag")
+    joined = rows.withColumns({"one": F.xxhash64("raw"), "two": F.xxhash64(F.lit(1), "raw")}).join(tags, ["did", "one", "two"], "left")
+    return keep(joined.select("did", F.coalesce("tag", F.lit(0)).cast("long").alias("tag"), "raw", *named)), True
 
 
-def tagged(rows: DataFrame) -> DataFrame:
-    """(did, tag, raw): with the 16 bits that tell texts of one id apart, as text_tags has them. The tag is never null, so that
-    all joins with these rows ask the same of the scan and Spark shuffles the texts once for all of them."""
-    return rows.select("did", F.coalesce(F.crc32("raw").bitwiseAND(0xFFFF), F.lit(0).cast("long")).alias("tag"), "raw")
+def compact(rows: DataFrame) -> DataFrame:
+    """With the texts compressed for the shuffle, as packed in place of raw."""
+    return rows.select("did", "tag", F.arrow_udf(packed, "binary")("raw").alias("packed"), *rows.columns[3:])
 
 
 def shared(found: DataFrame) -> DataFrame:
@@ -145,6 +160,6 @@ def shared(found: DataFrame) -> DataFrame:
     return keep(found.join(many, "anchor", "left_semi"))
 
 
-def per_document(rows: DataFrame) -> DataFrame:
-    """(did, tag, spans) from (did, tag, start, many): the spans of one text; no more of them than it has units."""
-    return rows.groupBy("did", "tag").agg(F.collect_list(F.struct("start", "many")).alias("spans"))
+def per_document(rows: DataFrame, *fields: str) -> DataFrame:
+    """(did, tag, spans) from (did, tag, fields): the spans of one text; no more of them than it has units."""
+    return rows.groupBy("did", "tag").agg(F.collect_list(F.struct(*fields)).alias("spans"))

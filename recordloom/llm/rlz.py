@@ -1,16 +1,18 @@
-"""Substring deduplication by hashes of anchored segments and of windows, in words.
+"""Substring deduplication by relative Lempel-Ziv parsing, in words.
 
-This stands in place of relative Lempel-Ziv parsing: nothing is parsed greedily and no match is extended, as that needs an index of all earlier text in
-each task. "Factor" and "block" below are names for segments.
+The reference of a document is all text that starts earlier: that of smaller document ids, and the document's own earlier words. The corpus is cut at
+content-defined places into blocks (see ``anchors``), and of equal blocks the earliest is indexed under its anchor. Nothing but a block with one of a document's
+anchors can share a window of ``width`` words with it, so looking up its anchors factors a document against every indexed block:
 
-The reference is the corpus itself. It is cut at content-defined places into blocks (see ``anchors``), each indexed by
-its anchor, and of equal blocks the earliest stands for all. A document is factored against every block that its anchors
-find: where it repeats a whole block that came earlier, the block is one long factor. At factor boundaries, where a
-document and an indexed block share an anchor but part ways within the block, each window of ``width`` words is checked against the windows
-of all blocks with that anchor. Adjoining factors merge, and whatever they cover is a duplicate span.
+* a block of the document that equals an indexed one refers to it as a whole;
+* where the two differ behind one anchor, which is where factors end, each window of the block is looked up among the
+  windows of all blocks with that anchor, and refers to the earliest equal one.
 
-So a word is in a span exactly if some window that covers it also starts earlier: at a smaller document id, or before it
-in the same document. Windows are judged on the input. Hashes of 64 bits for the anchor and 64 for content are compared together.
+A document is then parsed greedily (``parse``): references that advance in step are one match, and at the first word that any match covers the
+parse takes the match that reaches farthest. A factor is (first window, windows, document and place referred to). The parse goes on behind the last window of a
+factor, not behind its last word, so windows that lie across the boundary of two factors are tried as well. The words of all factors are the duplicate spans.
+
+So a word is in a span exactly if some window that covers it also starts earlier. Windows are judged on the input. Hashes of 64 bits for the anchor and 64 for content are compared together.
 
 Sizes: one row per segment is shuffled, and only repeated segments and the texts move again. A passage that a third of all documents
 hold is combined before the shuffle; nothing is paired within a group.
@@ -27,10 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.spread import apart
-from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, start_of, tag_of, tagged, texts, windows_of
-from .textscan import by_bytes, give_back, spans, word_hashes, words
+from .anchors import NO_ID, SEGMENT, Rolling, compact, per_document, scanner, shared, start_of, texts, windows_of
+from .textscan import give_back, opened, spans, word_hashes, words
 
 WIDTH, GRAM = 20, 6
+#: What the index says of a text: ``many`` windows from ``start`` on equal those from ``at`` on of the text (ref, which).
+HIT = ("start", "many", "ref", "which", "at")
 
 
 def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,10 +43,10 @@ def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def boundary_windows(width: int):
-    """A mapInArrow function: (did, tag, raw, blocks) to the windows (anchor, window, did, tag, start) of the blocks of each text."""
+    """A mapInArrow function: (did, tag, packed, blocks) to the windows (anchor, window, did, tag, start) of the blocks of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "raw"):
+        for batch in opened(batches):
             hashes, first = word_units(*spans(batch.column("raw")))
             grams = Rolling(hashes).grams(width)
             blocks = batch.column("blocks")
@@ -58,103 +62,172 @@ def boundary_windows(width: int):
     return run
 
 
-def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(did, tag, start, many): runs of ``many`` windows, from the word ``start`` on, that all start earlier too."""
-    rows = texts(docs, key, text)
-    found = shared(rows.mapInArrow(scanner(word_units, width, min(GRAM, width)), SEGMENT))
-    first = F.min(F.struct("did", start_of(F.col("place")).alias("start"), "place")).alias("first")
-    blocks = found.groupBy("anchor", "content").agg(first, F.count(F.lit(1)).alias("n"))
-    # factors that repeat a whole block
-    later = (F.col("did") > F.col("first.did")) | (F.col("did") == F.col("first.did")) & (start_of(F.col("place")) > F.col("first.start"))
-    copied = apart(found, blocks.where("n > 1").select("anchor", "content", "first"), ["anchor", "content"]).where(later)
-    whole = copied.select("did", tag_of(F.col("place")).alias("tag"), start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many"))
-    # factor boundaries: blocks that differ behind one anchor
-    differ = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    edges = apart(blocks, differ, ["anchor"]).select("anchor", "first.*")
-    asked = edges.groupBy("did", tag_of(F.col("place")).alias("tag")).agg(F.collect_list(F.struct("anchor", "start", windows_of(F.col("place")).alias("many"))).alias("blocks"))
-    seen = tagged(rows).join(asked, ["did", "tag"]).select("did", "tag", "raw", "blocks").mapInArrow(boundary_windows(width), "anchor long, window long, did long, tag long, start long")
-    earliest = seen.groupBy("anchor", "window").agg(F.min(F.struct("did", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    after = (F.col("did") > F.col("first.did")) | (F.col("did") == F.col("first.did")) & (F.col("start") > F.col("first.start"))
-    single = apart(seen, earliest.select("anchor", "window", "first"), ["anchor", "window"]).where(after).select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
-    return whole.unionByName(single)
+def referred(found: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``found`` (did, tag, start, many and the keys) with the ``first`` of their keys."""
+    return apart(found, firsts.select(*keys, "first"), keys)
+
 
+def behind(pairs: DataFrame) -> DataFrame:
+    """Hits: rows that start behind their first."""
+    later = F.struct("did", "start") > F.struct("first.did", "first.start")
+    return pairs.where(later).select("did", "tag", "start", "many", F.col("first.did").alias("ref"), F.col("first.tag").alias("which"), F.col("first.start").alias("at"))
 
-def cover(many_units: int, starts: np.ndarray, many: np.ndarray, width: int) -> np.ndarray:
-    """Which units some window of the runs covers."""
-    step = np.zeros(many_units + 1, np.int64)
-    good = starts + many - 1 + width <= many_units
-    np.add.at(step, starts[good], 1)
-    np.add.at(step, (starts + many - 1 + width)[good], -1)
-    return np.cumsum(step[:-1]) > 0
+
+def hits(rows: DataFrame, plain: DataFrame, several: bool, width: int) -> DataFrame:
+    """(did, tag and the fields of HIT) of the texts of ``rows``; ``plain`` has them compressed; ``several``: are there ids with several texts?"""
+    found = shared(rows.select("did", "tag", "raw").mapInArrow(scanner(word_units, width, min(GRAM, width)), SEGMENT))
+    start, many = start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many")
+    blocks = found.groupBy("anchor", "content").agg(F.min(F.struct("did", start, "tag", many)).alias("first"), F.count(F.lit(1)).alias("n"))
+    # blocks that equal an indexed one
+    copies = referred(found.select("anchor", "content", "did", "tag", start, many), blocks.where("n > 1"), ["anchor", "content"])
+    # factor boundaries: blocks that differ behind one anchor
+    differ = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    edges = apart(blocks, differ, ["anchor"]).select("anchor", "first.did", "first.tag", "first.start", "first.many")
+    if several:
+        # texts of one id that hold a block at one place: each is a first
+        level = (F.struct("did", "start") == F.struct("first.did", "first.start")) & (F.col("tag") != F.col("first.tag"))
+        edges = edges.unionByName(apart(copies.where(level).select("anchor", "did", "tag", "start", "many").distinct(), differ, ["anchor"]))
+    asked = edges.groupBy("did", "tag").agg(F.collect_list(F.struct("anchor", "start", "many")).alias("blocks"))
+    seen = plain.select("did", "tag", "packed").join(asked, ["did", "tag"]).select("did", "tag", "packed", "blocks").mapInArrow(boundary_windows(width), "anchor long, window long, did long, tag long, start long")
+    earliest = seen.groupBy("anchor", "window").agg(F.min(F.struct("did", "start", "tag")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return behind(copies).unionByName(behind(referred(seen.withColumn("many", F.lit(1).cast("long")), earliest, ["anchor", "window"])))
+
+
+def parse(start: np.ndarray, many: np.ndarray, ref: np.ndarray, which: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The factors (first window, windows, ref, at) of one document from its hits, in order."""
+    if not len(start):
+        return []
+    order = np.lexsort((start, at - start, which, ref))
+    start, many, ref, which, at = (x[order] for x in (start, many, ref, which, at))
+    # hits in step, each beginning where the ones before end at the latest, are one match
+    step = np.flatnonzero((np.diff(ref) != 0) | (np.diff(which) != 0) | (np.diff(at - start) != 0)) + 1
+    matches: list[tuple[int, int, int, int]] = []
+    for a, b in zip([0, *step.tolist()], [*step.tolist(), len(start)], strict=True):
+        reach = np.maximum.accumulate(start[a:b] + many[a:b])
+        heads = np.flatnonzero(np.append(True, start[a + 1 : b] > reach[:-1]))
+        ends = reach[np.append(heads[1:], b - a) - 1]
+        matches += zip(start[a + heads].tolist(), ends.tolist(), ref[a + heads].tolist(), at[a + heads].tolist(), strict=True)
+    matches.sort()
+    out: list[tuple[int, int, int, int]] = []
+    best, done, k = (0, 0, 0, 0), 0, 0
+    while True:
+        while k < len(matches) and matches[k][0] <= done:
+            best = max(best, matches[k], key=lambda m: m[1])
+            k += 1
+        if best[1] > done:
+            out.append((done, best[1] - done, best[2], best[3] + done - best[0]))
+            done = best[1]
+        elif k < len(matches):
+            done = matches[k][0]
+        else:
+            return out
+
+
+def factors_of(found: pa.ListArray) -> list[list[tuple[int, int, int, int]]]:
+    """The factors of each document of a batch."""
+    out = []
+    for each in found:
+        fields = each.values
+        out.append(parse(*(fields.field(k).to_numpy(zero_copy_only=False) for k in range(len(HIT)))) if each.is_valid else [])
+    return out
+
+
+def kept_words(data: np.ndarray, offsets: np.ndarray, factors: list[list[tuple[int, int, int, int]]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[memoryview]]:
+    """(first-word indexes, words removed of each text, whether each word goes, the kept words of each text joined by a space)."""
+    starts, ends, first = words(data, offsets)
+    step = np.zeros(len(starts) + 1, np.int32)
+    for d, each in enumerate(factors):
+        for start, many, _, _ in each:
+            step[first[d] + start] += 1
+            step[first[d] + start + many - 1 + width] -= 1
+    gone = np.cumsum(step[:-1]) > 0
+    stays = ~gone
+    removed = np.concatenate([[0], np.cumsum(gone)])[first]
+    # the bytes of kept words, in order, go to all places of the result but those of the spaces
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts[stays]] += 1
+    edge[ends[stays]] -= 1
+    source = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    size = np.where(stays, ends - starts + 1, 0)
+    at = np.concatenate([[0], np.cumsum(size)])
+    result = np.full(at[-1], 0x20, np.uint8)
+    letters = np.ones(at[-1], bool)
+    letters[at[1:][stays] - 1] = False
+    result[letters] = data[source]
+    view = memoryview(result.tobytes())
+    begin, end = at[first[:-1]], at[first[1:]]
+    kept = [view[a : max(a, b - 1)] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+    return first, np.diff(removed), gone, kept
 
 
 def remover(width: int, full: bool):
-    """A mapInArrow function: (did, raw, spans) to (id, n_words, n_removed, kept_sha256[, kept, removed])."""
+    """A mapInArrow function: (did, packed, spans) to (id, n_words, n_removed, kept_sha256[, kept, spans, factors])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "raw"):
-            n, gone, sha, texts_, runs = [], [], [], [], []
-            for raw, found in zip(batch.column("raw"), batch.column("spans"), strict=True):
-                parts = raw.as_py().split()
-                n.append(len(parts))
-                marked = np.zeros(len(parts), bool)
-                if found.is_valid:
-                    flat = found.values
-                    marked = cover(len(parts), flat.field(0).to_numpy(zero_copy_only=False), flat.field(1).to_numpy(zero_copy_only=False), width)
-                gone.append(int(marked.sum()))
-                kept = b" ".join(parts if not gone[-1] else [p for p, m in zip(parts, marked.tolist(), strict=True) if not m])
-                sha.append(hashlib.sha256(kept).hexdigest())
-                if full:
-                    texts_.append(kept.decode("utf-8", "replace"))
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
-                    runs.append([{"start": int(a), "words": int(b - a)} for a, b in zip(edge[::2], edge[1::2], strict=True)])
+        for batch in opened(batches):
+            factors = factors_of(batch.column("spans"))
+            first, removed, gone, kept = kept_words(*spans(batch.column("raw")), factors, width)
             ids = batch.column("did").to_pylist()
-            out = {"id": pa.array([None if i == NO_ID else i for i in ids], pa.int64()), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept_sha256": pa.array(sha, pa.string())}
+            out = {
+                "id": pa.array([None if i == NO_ID else i for i in ids], pa.int64()), "n_words": pa.array(np.diff(first)), "n_removed": pa.array(removed),
+                "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+            }
             if full:
-                out |= {"kept": pa.array(texts_, pa.string()), "spans": pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())])))}
+                runs = []
+                for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]])))
+                    runs.append([{"start": int(x), "words": int(y - x)} for x, y in zip(edge[::2], edge[1::2], strict=True)])
+                referred = [[{"start": s, "words": n - 1 + width, "document": None if r == NO_ID else r, "at": p} for s, n, r, p in each] for each in factors]
+                run_kind, factor_kind = (pa.list_(pa.struct([(c, pa.int64()) for c in names])) for names in (("start", "words"), ("start", "words", "document", "at")))
+                out |= {"kept": pa.array([bytes(k).decode("utf-8", "replace") for k in kept], pa.string()), "spans": pa.array(runs, run_kind), "factors": pa.array(referred, factor_kind)}
             yield pa.RecordBatch.from_pydict(out)
 
     return run
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, full: bool = True) -> DataFrame:
-    """key (long), n_words, n_removed, kept_sha256 and, with ``full``, kept (words joined by one space) and spans of every row.
+    """key (long), n_words, n_removed, kept_sha256 and, with ``full``, kept (words joined by one space), spans and factors of every row.
 
+    The key is an integer, else a TypeError is raised. A factor says which words equal which of an earlier document (or of the same one): start, words, document, at.
     A null text has no words; its digest is that of the empty string. A null key counts as before all others. Rows that
-    repeat a key and text get the same result each: neither is earlier than the other. Of rows with one key and different texts the start alone
-    decides. Texts with fewer words than ``width`` lose nothing. Extra columns are not read. An empty table gives no rows.
+    repeat a key and text get the same result each: neither is earlier than the other. Of rows with one key (or none) and different texts the start alone
+    decides. Texts with fewer words than ``width`` lose nothing. Extra columns are not read, whatever their names. An empty table gives no rows.
     """
     if width < 2:
         raise ValueError("a window has two words at least")
-    found = per_document(repeated(docs, key, text, width))
-    joined = tagged(texts(docs, key, text)).join(found, ["did", "tag"], "left").select("did", "raw", "spans")
-    schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string, spans array<struct<start: long, words: long>>" * full
+    rows, several = texts(docs, key, text)
+    plain = compact(rows)
+    found = per_document(hits(rows, plain, several, width), *HIT)
+    joined = plain.join(found, ["did", "tag"], "left").select("did", "packed", "spans")
+    schema = "id long, n_words long, n_removed long, kept_sha256 string"
+    if full:
+        schema += ", kept string, spans array<struct<start: long, words: long>>, factors array<struct<start: long, words: long, document: long, at: long>>"
     return joined.mapInArrow(remover(width, full), schema).withColumnRenamed("id", key)
 
 
 def stripped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """The rows of ``docs``, all columns, with texts rid of duplicate spans: the kept words joined by one space.
 
-    A text without such spans stays as it is, and a row whose words all go is left out. Else as ``deduplicate``.
+    A text without such spans stays as it is, null or not, and a row whose words all go is left out. The columns of ``docs`` travel in one struct, so their
+    names can't clash with those used here. Else as ``deduplicate``.
     """
 
     @F.arrow_udf("binary")
-    def kept(raws: pa.Array, found: pa.Array) -> pa.Array:
-        out: list[bytes | None] = []
-        for raw, spans_ in zip(raws, found, strict=True):
-            if not spans_.is_valid:
-                out.append(None)
-                continue
-            parts, flat = raw.as_py().split(), spans_.values
-            marked = cover(len(parts), flat.field(0).to_numpy(zero_copy_only=False), flat.field(1).to_numpy(zero_copy_only=False), width)
-            out.append(b" ".join([p for p, m in zip(parts, marked.tolist(), strict=True) if not m]))
+    def kept(texts_: pa.Array, found: pa.Array) -> pa.Array:
+        out: list[bytes] = []
+        for batch in opened(iter([pa.record_batch([texts_, found], ["packed", "spans"])])):
+            factors = factors_of(batch.column("spans"))
+            for whole, each, rest in zip(batch.column("raw"), factors, kept_words(*spans(batch.column("raw")), factors, width)[-1], strict=True):
+                out.append(bytes(rest) if each else whole.as_py())
         done = pa.array(out, pa.binary())
         give_back()
         return done
 
-    found = per_document(repeated(docs, key, text, width)).withColumnsRenamed({"did": "_did", "tag": "_tag", "spans": "_spans"})
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    marked = docs.withColumns({"_did": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "_tag": F.crc32(raw).bitwiseAND(0xFFFF)})
-    joined = marked.join(found, ["_did", "_tag"], "left").withColumn("_kept", kept(raw, F.col("_spans")))
-    changed = F.when(F.col("_kept").isNull(), F.col(text)).otherwise(F.col("_kept").cast("string"))
-    return joined.where("_kept is null or octet_length(_kept) > 0").withColumn(text, changed).select(*docs.columns)
+    others = [c for c in docs.columns if c != text]
+    rest = F.struct(F.col(text).isNull().alias("none"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(others))).alias("rest")
+    rows, several = texts(docs, key, text, rest)
+    plain = compact(rows)
+    found = per_document(hits(rows, plain, several, width), *HIT)
+    cut = plain.join(found, ["did", "tag"], "left").select("rest", F.col("spans").isNotNull().alias("changed"), kept("packed", "spans").alias("text"))
+    back = {text: F.when(F.col("rest.none"), F.lit(None)).otherwise(F.col("text").cast("string"))} | {c: F.col(f"rest.c{k}") for k, c in enumerate(others)}
+    return cut.where("not changed or octet_length(text) > 0").select(*(back[c].alias(c) for c in docs.columns))

@@ -7,9 +7,9 @@ round reads these updated pointers, so two rounds reach the width. Suffixes alon
 
 To spread this, only suffixes that can have a partner are sorted. Content-defined anchors (see ``anchors``) bring together the segments that
 can hold equal strings; segments with equal content need no sorting at all, and those that differ behind
-one anchor are refined in bounded batches. A group of more than GROUP different segments, too large for a batch, is
-handled by hashing each of its windows instead: those rows spread over all tasks and are combined before the shuffle. Both ways are exact but for collisions of
-64-bit hashes within one anchor.
+one anchor are refined, anchor by anchor, in bounded batches. A group of more than GROUP different segments is too large for a batch. It goes through the same two rounds as
+shuffles: the pointers of the first round are made where the text is, from the q-gram buckets of two offsets each, and the second round is a grouping
+by the pointers of two offsets, combined before the shuffle and spread over all tasks. Both ways are exact but for collisions of 64-bit hashes within one anchor.
 """
 
 from __future__ import annotations
@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.spread import apart
-from .anchors import NO_ID, SEGMENT, Rolling, per_document, scanner, shared, start_of, tag_of, tagged, texts, windows_of
-from .textscan import by_bytes, mix, spans
+from .anchors import NO_ID, SEGMENT, Rolling, compact, per_document, scanner, shared, start_of, texts, windows_of
+from .textscan import by_bytes, mix, opened, spans
 
 WIDTH, GRAM = 400, 32
-#: Bytes of segments that are refined together.
-BATCH_BYTES = 4 << 20
-#: A segment has under twice the width; so many of them fill a batch.
-GROUP = BATCH_BYTES // (2 * WIDTH)
+#: Bytes of segments that are refined together, and different segments of an anchor that are (a segment has under twice the width).
+BATCH_BYTES = 2 << 20
+GROUP = 4096
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -52,10 +51,20 @@ def _point(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pointer, more
 
 
+def offsets_of(width: int) -> tuple[int, int]:
+    """(half, q): a window is two halves, a half two q-grams; they overlap where the width is no multiple."""
+    half = -(-width // 2)
+    return half, -(-half // 2)
+
+
+def halves(grams: np.ndarray, places: np.ndarray, half: int, q: int) -> np.ndarray:
+    """What the first round sorts by: the q-gram buckets of two offsets that make up half a window."""
+    return mix(grams[places] * np.uint64(3) + mix(grams[places + half - q]))
+
+
 def refine(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     """Which of ``starts`` (distinct places of ``data``, ``width`` bytes from the end at least) share their next ``width`` bytes with another."""
-    half = -(-width // 2)
-    q = -(-half // 2)
+    half, q = offsets_of(width)
     out = np.zeros(len(starts), bool)
     if len(starts) < 2:
         return out
@@ -72,7 +81,7 @@ def refine(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     places = np.flatnonzero(wanted)
     pointers, more = np.full(len(data), -1, np.int64), np.zeros(len(data), bool)
     # first round: q-gram buckets of two offsets name buckets of half the width
-    pointers[places], more[places] = _point(mix(grams[places] * np.uint64(3) + mix(grams[places + half - q])))
+    pointers[places], more[places] = _point(halves(grams, places, half, q))
     keep = more[at] & more[at + far]
     live, at = live[keep], at[keep]
     # second round: the updated pointers of two offsets name buckets of the whole width
@@ -82,10 +91,10 @@ def refine(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
 
 
 def pieces(width: int):
-    """A mapInArrow function: (did, tag, raw, asked) to the segments' bytes."""
+    """A mapInArrow function: (did, tag, packed, asked) to the segments' bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "raw"):
+        for batch in opened(batches):
             rows = []
             for did, tag, raw, asked in zip(*(batch.column(c) for c in ("did", "tag", "raw", "asked")), strict=True):
                 text = raw.as_py()
@@ -138,13 +147,14 @@ def refiner(width: int):
     return run
 
 
-def hashed_windows(width: int):
-    """A mapInArrow function: (did, tag, raw, asked) to (anchor, window, did, tag, start) of each window of the segments."""
+def pointed_windows(width: int):
+    """A mapInArrow function: (did, tag, packed, asked) to (anchor, near, far, did, tag, start): the first round's pointers of each window of the segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "raw"):
+        half, q = offsets_of(width)
+        for batch in opened(batches):
             data, offsets = spans(batch.column("raw"))
-            grams = Rolling(_BYTES[data]).grams(width)
+            grams = Rolling(_BYTES[data]).grams(q)
             asked = batch.column("asked")
             owner = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy(zero_copy_only=False))
             flat = asked.flatten()
@@ -152,8 +162,9 @@ def hashed_windows(width: int):
             row = np.repeat(np.arange(len(start)), many)
             at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
             doc = owner[row]
+            near, far = (halves(grams, offsets[doc] + at + x, half, q).view(np.int64) for x in (0, width - half))
             ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tag"))
-            yield pa.record_batch([anchor[row], grams[offsets[doc] + at].view(np.int64), ids[doc], tags[doc], at], ["anchor", "window", "did", "tag", "start"])
+            yield pa.record_batch([anchor[row], near, far, ids[doc], tags[doc], at], ["anchor", "near", "far", "did", "tag", "start"])
 
     return run
 
@@ -161,35 +172,33 @@ def hashed_windows(width: int):
 RUN = "did long, tag long, start long, many long"
 
 
-def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, group: int = GROUP) -> DataFrame:
-    """(did, tag, start, many): runs of ``many`` windows, from the byte ``start`` on, that all start elsewhere too."""
-    rows = texts(docs, key, text)
-    found = shared(rows.mapInArrow(scanner(byte_units, width, min(GRAM, -(-width // 4)), 1 << 20), SEGMENT))
-    blocks = found.groupBy("anchor", "content").agg(F.min(F.struct("did", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
+def repeated(rows: DataFrame, plain: DataFrame, width: int = WIDTH, group: int = GROUP) -> DataFrame:
+    """(did, tag, start, many): runs of ``many`` windows, from the byte ``start`` on, that all start elsewhere too; ``plain`` has the texts of ``rows`` compressed."""
+    found = shared(rows.select("did", "tag", "raw").mapInArrow(scanner(byte_units, width, min(GRAM, -(-width // 4)), 1 << 20), SEGMENT))
+    blocks = found.groupBy("anchor", "content").agg(F.min(F.struct("did", "tag", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     twice = blocks.where("n > 1").select("anchor", "content")
-    whole = apart(found, twice, ["anchor", "content"]).select("did", tag_of(F.col("place")).alias("tag"), start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many"))
+    whole = apart(found, twice, ["anchor", "content"]).select("did", "tag", start_of(F.col("place")).alias("start"), windows_of(F.col("place")).alias("many"))
     differ = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     place = F.col("first.place")
-    edges = apart(blocks, differ, ["anchor"]).select("anchor", "m", F.col("first.did").alias("did"), tag_of(place).alias("tag"), start_of(place).alias("start"), windows_of(place).alias("many"))
-    text_rows = tagged(rows)
+    edges = apart(blocks, differ, ["anchor"]).select("anchor", "m", "first.did", "first.tag", start_of(place).alias("start"), windows_of(place).alias("many"))
 
     def asked(part: DataFrame) -> DataFrame:
         each = part.groupBy("did", "tag").agg(F.collect_list(F.struct("anchor", "start", "many")).alias("asked"))
-        return text_rows.join(each, ["did", "tag"]).select("did", "tag", "raw", "asked")
+        return plain.join(each, ["did", "tag"]).select("did", "tag", "packed", "asked")
 
     bytes_ = asked(edges.where(F.col("m") <= group)).mapInArrow(pieces(width), "anchor long, did long, tag long, start long, many long, piece binary")
     refined = bytes_.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(refiner(width), RUN)
-    seen = asked(edges.where(F.col("m") > group)).mapInArrow(hashed_windows(width), "anchor long, window long, did long, tag long, start long")
-    again = seen.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "window")
-    single = apart(seen, again, ["anchor", "window"]).select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
+    seen = asked(edges.where(F.col("m") > group)).mapInArrow(pointed_windows(width), "anchor long, near long, far long, did long, tag long, start long")
+    again = seen.groupBy("anchor", "near", "far").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "near", "far")
+    single = apart(seen, again, ["anchor", "near", "far"]).select("did", "tag", "start", F.lit(1).cast("long").alias("many"))
     return whole.unionByName(refined).unionByName(single)
 
 
 def remover(width: int, full: bool):
-    """A mapInArrow function: (did, raw, spans) to (id, n_bytes, n_removed, n_spans, kept_sha256[, kept, removed])."""
+    """A mapInArrow function: (did, packed, spans) to (id, n_bytes, n_removed, n_spans, kept_sha256[, kept, removed])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "raw"):
+        for batch in opened(batches):
             n, gone, many, sha, kept_all, runs_all = [], [], [], [], [], []
             for raw, found in zip(batch.column("raw"), batch.column("spans"), strict=True):
                 text = raw.as_py()
@@ -227,13 +236,15 @@ def remover(width: int, full: bool):
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, full: bool = True, group: int = GROUP) -> DataFrame:
     """key (long), n_bytes, n_removed, n_spans, kept_sha256 and, with ``full``, kept (bytes) and spans of every row.
 
-    Every copy goes, the first too. Matches never cross documents. A null text has no bytes; its digest is that of the
-    empty string. Rows that repeat a key and text are two documents, and so each other's partners. Texts of fewer than
-    ``width`` bytes lose nothing. A null key is kept. Extra columns are not read. An empty table gives no rows.
+    The key is an integer, else a TypeError is raised. Every copy goes, the first too. Matches never cross documents. A null text has no bytes; its digest is that of the
+    empty string. Rows that repeat a key and text are two documents, and so each other's partners; so are rows with one key (or none) and different texts. Texts of fewer than
+    ``width`` bytes lose nothing. A null key is kept. Extra columns are not read, whatever their names. An empty table gives no rows.
     """
     if width < 8:
         raise ValueError("a width of 8 bytes at least")
-    found = per_document(repeated(docs, key, text, width, group))
-    joined = tagged(texts(docs, key, text)).join(found, ["did", "tag"], "left").select("did", "raw", "spans")
+    rows, _ = texts(docs, key, text)
+    plain = compact(rows)
+    found = per_document(repeated(rows, plain, width, group), "start", "many")
+    joined = plain.join(found, ["did", "tag"], "left").select("did", "packed", "spans")
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<struct<start: long, bytes: long>>" * full
     return joined.mapInArrow(remover(width, full), schema).withColumnRenamed("id", key)
