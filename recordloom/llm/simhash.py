@@ -255,13 +255,13 @@ def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: i
     return sorted_.mapInArrow(comparer(most), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, threshold: int = 2, seed: int = 42, words: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, threshold: int = 2, seed: int = 42, words: int = 2) -> DataFrame:
     """key, fingerprint (16 hexadecimal digits), component_id (the least key reachable by links, the row's own included) for every row.
 
     Shingles are runs of ``size`` words of the lower-cased text (A to Z), repeats included. Fingerprints link at ``threshold`` or fewer
     differing bits. A text that is null or has no words has the fingerprint zero, linked like any other. Equal fingerprints are one node,
-    so copies are never paired. ``words``: code words of a table, 1 or 2; 2 makes anchors finer, for over some ten million
-    different fingerprints; the result is the same. Repeated rows get equal results; a null key is kept and is no one's component_id unless
+    so copies are never paired. ``words``: code words of a table, 1 or 2; the result is the same. Two make 16.7 million anchors, so that 10^9 different fingerprints
+    are 60 owners an anchor; one makes 4,096 and fewer guests. Repeated rows get equal results; a null key is kept and is no one's component_id unless
     all keys of its component are null. Extra columns are not read. An empty table gives no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
