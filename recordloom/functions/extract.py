@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import re
 
 import pyarrow as pa
@@ -12,8 +11,14 @@ from pyspark.sql import types as T
 
 from .textkeys import SPACE, text_of
 
-# The named entities that are decoded; all others stay as they are.
-ENTITIES = "amp lt gt quot apos nbsp laquo raquo mdash ndash hellip rsquo lsquo rdquo ldquo bdquo copy".split()
+# The named entities that XML has, that articles have and that pages have; all others stay as they are.
+XML_ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+ARTICLE_ENTITIES = XML_ENTITIES | {"nbsp": " ", "laquo": "«", "raquo": "»", "mdash": "—", "ndash": "–", "hellip": "…", "rsquo": "’", "lsquo": "‘", "rdquo": "”", "ldquo": "“"}
+PAGE_ENTITIES = ARTICLE_ENTITIES | {"bdquo": "„", "copy": "©"}
+# Lines that a site puts into every article.
+PROMO = (
+    "SoundCloud", "YouTube", "Установите Мобильное приложение Радио Свобода", "Установить", "Читайте Свободу в Телеграме", "Войти", "Подпишитесь на Свободу в Google новостях", "Подписаться",
+)
 # Russian month names in the genitive, January first.
 MONTHS = "января февраля марта апреля мая июня июля августа сентября октября ноября декабря".split()
 # How a numbered line begins, and what tells an entry from a note.
@@ -37,44 +42,61 @@ def clean(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(_col(c), r"[\u200B\uFEFF]", ""), rf"{SPACE}+", " "))
 
 
-def _decoded(text: str) -> str:
+_REFERENCE = re.compile(r"&(?:#[xX]([0-9a-fA-F]+)|#([0-9]+)|([A-Za-z]+));")
+
+
+def _decoder(names: dict[str, str], hexadecimal: bool = True, small: bool = True):
+    """An Arrow function that decodes references: decimal ones, hexadecimal ones, and the named ones (in small letters, or in any)."""
+
     def one(m: re.Match) -> str:
-        name = m[1]
-        if name[0] != "#":
-            return html.unescape(f"&{name.lower()};") if name.lower() in ENTITIES else m[0]
-        code = int(name[2:], 16) if name[1] in "xX" else int(name[1:])
+        if m[3]:
+            return names.get(m[3].lower() if small else m[3], m[0])
+        if m[1] and not hexadecimal:
+            return m[0]
+        code = int(m[1], 16) if m[1] else int(m[2])
         return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else m[0]
 
-    return re.sub(r"&(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z]+);", one, text)
+    @F.arrow_udf(T.StringType())
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else _REFERENCE.sub(one, v) for v in values.to_pylist()], pa.string())
+
+    return run
 
 
-def decode_entities(c: Column | str) -> Column:
-    """Decimal, hexadecimal and the listed named entities. Native for text whose only entities are named ones would not be exact, so this is an Arrow function;
-    it leaves values without "&" to Spark."""
+#: Of a feed's elements: five names and decimal references. Of dumps: hexadecimal ones too. Of articles and pages: more names, in any case.
+_DECODERS = {"feed": _decoder(XML_ENTITIES, False, False), "dump": _decoder(XML_ENTITIES, True, False), "article": _decoder(ARTICLE_ENTITIES), "page": _decoder(PAGE_ENTITIES)}
+
+
+def decode_entities(c: Column | str, kind: str = "page") -> Column:
+    """The references that a ``kind`` of text has (feed, dump, article or page), each in one pass, so that what comes out is not read again. Values without "&" are left to Spark."""
     c = _col(c)
-    return F.when(F.contains(c, F.lit("&")), _decode_entities(c)).otherwise(c)
+    return F.when(F.contains(c, F.lit("&")), _DECODERS[kind](c)).otherwise(c)
 
 
-@F.arrow_udf(T.StringType())
-def _decode_entities(values: pa.Array) -> pa.Array:
-    return pa.array([None if v is None else _decoded(v) for v in values.to_pylist()], pa.string())
+def _text_lines(c: Column, dropped: str, comments: bool, blocks: str, ends: str, kind: str) -> Column:
+    c = F.regexp_replace(text_of(c), rf"(?is)<({dropped})\b.*?</\1>", "")
+    if comments:
+        c = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
+    c = F.regexp_replace(F.regexp_replace(c, rf"(?i)<(?:{blocks})\b[^>]*>", "\n"), r"<[^>]+>", "")
+    return F.filter(F.transform(F.split(decode_entities(c, kind), ends), clean), lambda x: x != "")
+
+
+def page_lines(c: Column | str) -> Column:
+    """The text lines of an episode's page: a paragraph, list item, row or break begins one. Scripts, styles and comments are dropped."""
+    return _text_lines(_col(c), "script|style|noscript", True, r"br|p|div|li|h\d|tr|table", r"\r\n|\r|\n", "page")
 
 
-def html_lines(c: Column | str) -> Column:
-    """The text lines of a page, as an array: scripts, styles and comments dropped, block elements begin lines, empty lines left out."""
-    c = text_of(c)
-    for pattern, to in (
-        (r"(?is)<(script|style|noscript|svg|iframe)\b.*?</\1>", ""), (r"(?s)<!--.*?-->", ""),
-        (r"(?i)</?(?:br|p|div|li|ul|ol|h\d|tr|table|section|article|header|footer|nav|title)\b[^>]*>", "\n"), (r"<[^>]+>", ""),
-    ):
-        c = F.regexp_replace(c, pattern, to)
-    return F.filter(F.transform(F.split(decode_entities(c), r"\r\n|\r|\n"), clean), lambda x: x != "")
+def article_lines(c: Column | str) -> Column:
+    """The text lines of an article's body: as ``page_lines``, but tables begin no line, comments are tags like others, pictures and frames are dropped, and so are the site's own lines."""
+    lines = _text_lines(_col(c), "script|style|svg|noscript|iframe", False, r"br|p|div|li|h\d|tr", r"\n", "article")
+    return F.filter(lines, lambda x: ~x.isin(*PROMO))
 
 
-def html_meta(c: Column | str, name: str) -> Column:
-    """The content of a meta element by its property or name; null without one."""
-    attribute = rf"""(?is)<meta\s[^>]*?(?:property|name)=["']{re.escape(name)}["'][^>]*?content=["']([^"']*)["']"""
-    return decode_entities(found(c, attribute))
+def html_meta(c: Column | str, name: str, kind: str = "page") -> Column:
+    """The content of a meta element by its property or name, whichever attribute stands first; null without one."""
+    either = rf"""(?:property|name)=["']{re.escape(name)}["']"""
+    attributes = (rf"""(?is)<meta\s[^>]*?{either}[^>]*?content=(["'])(.*?)\1""", rf"""(?is)<meta\s[^>]*?content=(["'])(.*?)\1[^>]*?{either}""")
+    return decode_entities(F.coalesce(*(found(c, a, 2) for a in attributes)), kind)
 
 
 def html_title(c: Column | str) -> Column:
@@ -110,7 +132,7 @@ def xml_element(c: Column | str, tag: str) -> Column:
     """The text of an XML fragment's first such element, CDATA unwrapped, entities decoded; null if empty."""
     inner = found(c, rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>")
     raw = found(inner, r"(?s)\A\s*<!\[CDATA\[(.*?)\]\]>\s*\z")
-    return F.nullif(F.trim(F.coalesce(raw, decode_entities(inner))), F.lit(""))
+    return F.nullif(F.trim(F.coalesce(raw, decode_entities(inner, "feed"))), F.lit(""))
 
 
 def iso_date(c: Column | str, first: int = 1997, last: int = 2013) -> Column:
@@ -185,32 +207,38 @@ def _apart(line: str) -> list[str]:
     return [*out, line]
 
 
-def _joined(lines: list[str]) -> list[str]:
-    """A number alone on its line belongs to the entry on the next."""
-    out, skip = [], False
-    for line, after in zip(lines, [*lines[1:], ""], strict=True):
-        if skip:
-            skip = False
-            continue
-        skip = bool(_LONE.match(line) and _ENTRY.search(after))
-        out.append(f"{line} {after}" if skip else line)
-    return out
+def _entry_at(lines: list[str], at: int) -> tuple[str, int]:
+    """What the line says, and how many lines that takes: a number alone belongs to the entry on the next line."""
+    alone = _LONE.match(lines[at]) and at + 1 < len(lines) and _ENTRY.search(lines[at + 1])
+    return (f"{lines[at]} {lines[at + 1]}", 2) if alone else (lines[at], 1)
+
 
+def _is_entry(line: str) -> bool:
+    return bool(_number(line) and _ENTRY.search(line))
 
-def _run_of_entries(lines: list[str]) -> list[str]:
-    lines, out = _joined(lines), []
-    for line, after in zip(lines, [*lines[1:], ""], strict=True):
-        if _number(line) and _ENTRY.search(line):
-            out += _apart(line)
-        elif out and not (_number(out[-1]) and _number(after) == _number(out[-1]) + 1 and _ENTRY.search(after)):
+
+def _run_of_entries(lines: list[str]) -> dict:
+    out: list[str] = []
+    start, at = None, 0
+    while at < len(lines):
+        text, used = _entry_at(lines, at)
+        behind = lines[at + used] if at + used < len(lines) else ""
+        if _is_entry(text):
+            start = at + used - 1 if start is None else start
+            out += _apart(text)
+        elif out and not (_number(out[-1]) and _is_entry(behind) and _number(behind) == _number(out[-1]) + 1):
             break
-    return out
+        at += used
+    return {"start": start, "entries": out}
 
 
 def _scattered_entries(lines: list[str]) -> list[str]:
     out: list[str] = []
-    for line in _joined(lines):
-        if _number(line) and _ENTRY.search(line) and (not out or _number(line) == _number(out[-1]) + 1 or re.search(r"(?ai)\bcd\b", line)):
+    at = 0
+    while at < len(lines):
+        line, used = _entry_at(lines, at)
+        at += used
+        if _is_entry(line) and (not out or _number(line) == _number(out[-1]) + 1 or re.search(r"(?ai)\bcd\b", line)):
             out.append(line)
     return out
 
@@ -223,8 +251,17 @@ def _lists(f):
     return run
 
 
-#: From an array of lines: the first run of numbered entries; a note is passed over if the next number goes on behind it.
-entries_in = _lists(_run_of_entries)
+@F.arrow_udf(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("entries", T.ArrayType(T.StringType()))]))
+def entry_run(values: pa.Array) -> pa.Array:
+    """From an array of lines: the first run of numbered entries, and where it starts (null: nowhere); a note is passed over if the line behind it goes on with the next number."""
+    found = [None if v is None else _run_of_entries(v) for v in values.to_pylist()]
+    return pa.array(found, pa.struct([("start", pa.int32()), ("entries", pa.list_(pa.string()))]))
+
+
+def entries_in(lines: Column | str) -> Column:
+    return entry_run(_col(lines))["entries"]
+
+
 #: From an array of lines: every entry with the next number, or one that names a CD, whatever stands between.
 entries_among = _lists(_scattered_entries)
 #: From a one-line array: its entries.

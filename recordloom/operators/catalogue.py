@@ -329,3 +329,29 @@ def reruns(rows: DataFrame, known: DataFrame, key: str, title: str) -> DataFrame
     mine = rows.select(key, low(F.col(title)).alias("_t"))
     by_part = mine.select(key, F.explode(parts(F.col("_t"))).alias("_p")).join(part, "_p").groupBy(key).agg(F.min("_part_key").alias("_part_key"))
     return mine.join(whole, "_t", "left").join(by_part, key, "left").select(key, F.coalesce("known_key", "_part_key").alias("known_key"))
+
+
+def corrected(tracks: DataFrame, row_id: str, countries: DataFrame, titles: DataFrame, spellings: DataFrame, labels: DataFrame, overrides: DataFrame, columns: list[str], anchors: dict[str, str]) -> DataFrame:
+    """A track as it is shown: the codes of its printed country, under its restored names and its artist's spelling, with its labels, shaped; then its hand fixes, tested on
+    the row as it came to them, and shaped again. Nothing is asked anew, so doing it twice changes nothing.
+
+    ``tracks``: artist, track, album, printed_country, printed_label, country (array), country_from, catalogue_labels (array) and what else ``columns`` name. ``countries``: (spelling, codes); ``titles``:
+    (pos, artist, track, album, to_artist, to_track, to_album); ``spellings``: (spelling, name); ``labels``: (spelling, name), closed (see ``dictionary.closure``); ``overrides``: (pos, artist, track,
+    album, set_<field> …).
+    """
+    from . import dictionary as D
+    from .merge import shaped
+
+    read = D.whole_or_parts(tracks, "printed_country", countries, r"\s*[/,&]\s*").withColumnsRenamed({"codes": "_codes", "status": "_status"})
+    rows = tracks.join(read, "printed_country", "left")
+    country, country_from = coded(F.col("_codes"), F.coalesce(D.vague(F.col("_codes"), F.col("_status")), F.lit(False)), F.col("printed_country"), F.col("printed_country").isNotNull(), F.col("country"), F.col("country_from"))
+    rows = rows.withColumns({"country": country, "country_from": country_from}).drop("_codes", "_status")
+    rows = D.rules_first_match(rows, titles, row_id, ["artist", "track", "album"]).drop("match_pos")
+    rows = D.restored(rows, "artist", spellings).drop("was_restored")
+    names = labels.groupBy(F.lower("spelling").alias("_spelling")).agg(F.array_sort(F.collect_set("name")).alias("_names"))
+    printed = rows.withColumn("_spelling", F.lower(K.tidy_label("printed_label"))).join(names, "_spelling", "left")
+    own = F.when(F.col("_names").isNotNull(), F.col("_names")).when(K.not_a_label(K.tidy_label("printed_label")), F.array().cast("array<string>")).otherwise(F.array(K.tidy_label("printed_label")))
+    label, label_from = labelled(own, F.col("printed_label"), F.col("printed_label").isNotNull(), K.catalogue_labels(F.col("catalogue_labels")))
+    rows = shaped(printed.withColumns({"label": label, "label_from": label_from}), [row_id, *columns], anchors)
+    fields = [c.removeprefix("set_") for c in overrides.columns if c.startswith("set_")]
+    return shaped(D.rules_last_wins(rows, overrides, row_id, ["artist", "track", "album"], "artist", fields).drop("rules_applied"), [row_id, *columns], anchors)

@@ -50,25 +50,29 @@ def staged(rows: DataFrame, key: str, stages: list[Callable[[DataFrame], DataFra
     return out
 
 
-def settled(candidates: DataFrame, key: str, name: str, owner: str, most_rounds: int = 5) -> DataFrame:
+#: Rounds after which ``settled`` ends, a fixed value of the procedure.
+ROUNDS = 5
+
+
+def settled(candidates: DataFrame, key: str, name: str, owner: str, rounds: int = ROUNDS, whole: bool = False) -> DataFrame:
     """(key, owner, round): namesakes told apart by what is known already, round by round.
 
     ``candidates``: (key, name, owner): the owners that a key could belong to under a name. A key with one candidate is settled. Then, of a key's
     candidates, those count that some settled key of that name has; if exactly one does, the key is settled too. It ends when a round settles
-    nothing, after ``most_rounds`` at most. Each round is written to the shared folder.
+    nothing, or after ``rounds``, as the procedure has it; with ``whole`` that is an error unless nothing more could be settled. Each round is written to the shared folder.
     """
     only = Window.partitionBy(key)
-    done = keep(candidates.distinct().withColumn("_n", F.count(F.lit(1)).over(only)).where("_n = 1").select(key, name, owner, F.lit(0).alias("round")))
-    count = done.count()
-    for number in range(1, most_rounds + 1):
+    pairs = keep(candidates.select(key, name, owner).distinct())
+    done = keep(pairs.withColumn("_n", F.count(F.lit(1)).over(only)).where("_n = 1").select(key, name, owner, F.lit(0).alias("round")))
+    for number in range(1, rounds + 1 + whole):
         known = done.select(name, owner).distinct()
-        open_ = candidates.distinct().join(done.select(key), key, "left_anti").join(known, [name, owner])
-        new = open_.withColumn("_n", F.count(F.lit(1)).over(only)).where("_n = 1").select(key, name, owner, F.lit(number).alias("round"))
+        open_ = pairs.join(done.select(key), key, "left_anti").join(known, [name, owner])
+        new = keep(open_.withColumn("_n", F.count(F.lit(1)).over(only)).where("_n = 1").select(key, name, owner, F.lit(number).alias("round")))
+        if new.isEmpty():
+            return done
+        if number > rounds:
+            raise RuntimeError(f"namesakes are not settled after {rounds} rounds")
         done = keep(done.unionByName(new))
-        now = done.count()
-        if now == count:
-            break
-        count = now
     return done
 
 

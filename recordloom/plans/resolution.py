@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import textkeys as K
 from ..operators import resolve as R
-from ..operators.align import compare_lists
+from ..operators.align import with_comparison
 from ..queries import query, table
 
 
@@ -65,20 +65,20 @@ def resolution_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.classes(rows, matches, "partkey", F.col("ready"), F.col("compilation"), "grp")
 
 
-@query("""
-    WITH c AS (SELECT DISTINCT l_partkey AS partkey, l_partkey % 40 AS name, l_suppkey AS owner FROM lineitem WHERE l_quantity > 46),
-         r0 AS (SELECT partkey, min(name) AS name, min(owner) AS owner, 0 AS round FROM c GROUP BY partkey HAVING count(*) = 1),
-         n1 AS (SELECT partkey, min(c.name) AS name, min(c.owner) AS owner FROM c WHERE partkey NOT IN (SELECT partkey FROM r0) AND EXISTS (SELECT 1 FROM r0 k WHERE k.name = c.name AND k.owner = c.owner) GROUP BY partkey HAVING count(*) = 1),
-         r1 AS (SELECT * FROM r0 UNION ALL SELECT *, 1 FROM n1),
-         n2 AS (SELECT partkey, min(c.name) AS name, min(c.owner) AS owner FROM c WHERE partkey NOT IN (SELECT partkey FROM r1) AND EXISTS (SELECT 1 FROM r1 k WHERE k.name = c.name AND k.owner = c.owner) GROUP BY partkey HAVING count(*) = 1),
-         r2 AS (SELECT * FROM r1 UNION ALL SELECT *, 2 FROM n2),
-         n3 AS (SELECT partkey, min(c.name) AS name, min(c.owner) AS owner FROM c WHERE partkey NOT IN (SELECT partkey FROM r2) AND EXISTS (SELECT 1 FROM r2 k WHERE k.name = c.name AND k.owner = c.owner) GROUP BY partkey HAVING count(*) = 1)
-    SELECT partkey, name, owner, CAST(round AS BIGINT) AS round FROM (SELECT * FROM r2 UNION ALL SELECT *, 3 FROM n3)
-""")
+def _rounds(n: int) -> str:
+    """The rounds of ``namesake_fixpoint``, one after the other."""
+    out = ["c AS (SELECT DISTINCT l_orderkey AS orderkey, l_orderkey % 500 AS name, l_suppkey AS owner FROM lineitem)", "r0 AS (SELECT orderkey, min(name) AS name, min(owner) AS owner, 0 AS round FROM c GROUP BY orderkey HAVING count(*) = 1)"]
+    for k in range(1, n + 1):
+        known = f"FROM c JOIN (SELECT DISTINCT name, owner FROM r{k - 1}) USING (name, owner) WHERE orderkey NOT IN (SELECT orderkey FROM r{k - 1})"
+        out.append(f"r{k} AS (SELECT * FROM r{k - 1} UNION ALL SELECT orderkey, min(name), min(owner), {k} {known} GROUP BY orderkey HAVING count(*) = 1)")
+    return "WITH " + ", ".join(out) + f" SELECT orderkey, name, owner, CAST(round AS BIGINT) AS round FROM r{n}"
+
+
+@query(_rounds(R.ROUNDS))
 def namesake_fixpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Namesakes told apart in rounds by owners that are settled already."""
-    c = table(spark, sf_dir, "lineitem").where("l_quantity > 46").select(F.col("l_partkey").alias("partkey"), (F.col("l_partkey") % 40).alias("name"), F.col("l_suppkey").alias("owner"))
-    return R.settled(c, "partkey", "name", "owner", 3).select("partkey", "name", "owner", F.col("round").cast("long").alias("round"))
+    """Orders of one name told apart in rounds by suppliers that are settled already, over all lines."""
+    c = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"), (F.col("l_orderkey") % 500).alias("name"), F.col("l_suppkey").alias("owner"))
+    return R.settled(c, "orderkey", "name", "owner").select("orderkey", "name", "owner", F.col("round").cast("long").alias("round"))
 
 
 @query("""
@@ -98,16 +98,51 @@ def doubt_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(doubt.alias("doubt"), "l_quantity").groupBy("doubt").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("long").alias("quantity"))
 
 
-@query()
+_NORM = r"regexp_replace(regexp_replace(regexp_replace(replace(strip_accents(lower({0})), '&', 'and'), '^the\s+', ''), '\b(kh|x)', 'h', 'g'), '[^a-z0-9]', '', 'g')"
+
+
+def _like(x: str, y: str) -> str:
+    """The same name, allowing for spelling."""
+    return (
+        f"CASE WHEN {x} = '' OR {y} = '' THEN {x} = {y} ELSE {x} = {y} OR (least(length({x}), length({y})) >= 4 AND (contains({x}, {y}) OR contains({y}, {x})))"
+        f" OR levenshtein({x}, {y}) <= greatest(2, CAST(floor(0.3::DOUBLE * greatest(length({x}), length({y}))) AS BIGINT)) END"
+    )
+
+
+@query(f"""
+    WITH RECURSIVE
+      l AS (SELECT l_orderkey AS k, l_returnflag AS flag, {_NORM.format("p_name")} AS x, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_shipdate, {_NORM.format("p_name")}) - 1 AS p
+            FROM lineitem JOIN part ON l_partkey = p_partkey),
+      a AS (SELECT k, p AS i, x FROM l WHERE flag = 'A'), b AS (SELECT k, p AS j, x AS y FROM l WHERE flag = 'N'),
+      n AS (SELECT k, (SELECT count(*) FROM a WHERE a.k = s.k) AS n, (SELECT count(*) FROM b WHERE b.k = s.k) AS m FROM (SELECT DISTINCT a.k FROM a JOIN b USING (k)) s),
+      alike AS (SELECT k, i, j, {_like("x", "y")} AS s FROM a JOIN b USING (k)),
+      best AS (
+        SELECT k, n AS i, unnest(range(m + 1)) AS j, 0::BIGINT AS v FROM n
+        UNION ALL
+        SELECT k, i, j, max(c) OVER (PARTITION BY k ORDER BY j DESC) FROM (
+          SELECT t.k, t.i - 1 AS i, t.j, CASE WHEN s THEN 1 + coalesce(lead(t.v) OVER (PARTITION BY t.k ORDER BY t.j), 0) ELSE t.v END AS c
+          FROM best t LEFT JOIN alike ON alike.k = t.k AND alike.i = t.i - 1 AND alike.j = t.j WHERE t.i > 0)),
+      walk AS (
+        SELECT k, 0::BIGINT AS i, 0::BIGINT AS j, false AS paired FROM n
+        UNION ALL
+        SELECT w.k, CASE WHEN s OR d.v >= r.v THEN w.i + 1 ELSE w.i END, CASE WHEN s OR d.v < r.v THEN w.j + 1 ELSE w.j END, s
+        FROM walk w JOIN alike e ON e.k = w.k AND e.i = w.i AND e.j = w.j JOIN best d ON d.k = w.k AND d.i = w.i + 1 AND d.j = w.j JOIN best r ON r.k = w.k AND r.i = w.i AND r.j = w.j + 1),
+      pairs AS (SELECT k, i - 1 AS i, j - 1 AS j FROM walk WHERE paired),
+      oa AS (SELECT a.k, list(x ORDER BY i) AS o FROM a ANTI JOIN pairs USING (k, i) GROUP BY a.k), ob AS (SELECT b.k, list(y ORDER BY j) AS o FROM b ANTI JOIN pairs USING (k, j) GROUP BY b.k),
+      moved AS (SELECT k, count(DISTINCT i) AS c FROM (SELECT a.k, a.i FROM a ANTI JOIN pairs USING (k, i)) JOIN (SELECT b.k, b.j FROM b ANTI JOIN pairs USING (k, j)) USING (k) JOIN alike USING (k, i, j) WHERE s GROUP BY k)
+    SELECT n.k AS orderkey, CASE WHEN n.n <> n.m THEN 'count' WHEN oa.o IS NULL THEN 'agree' WHEN moved.c = len(oa.o) AND len(oa.o) = len(ob.o) THEN 'order' ELSE 'artists' END AS kind,
+           coalesce(p.c, 0) AS matched, coalesce(array_to_string(oa.o, '; '), '') AS only_a, coalesce(array_to_string(ob.o, '; '), '') AS only_b
+    FROM n LEFT JOIN oa USING (k) LEFT JOIN ob USING (k) LEFT JOIN moved USING (k) LEFT JOIN (SELECT k, count(*) AS c FROM pairs GROUP BY k) p USING (k)
+""")
 def list_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part lists of two suppliers of an order, aligned under fuzzy equality (rows only: a dynamic program has no SQL form)."""
+    """The part lists of two return flags of an order, aligned under fuzzy equality."""
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     keys = p.select("p_name").distinct().withColumn("key", K.norm("p_name"))
     rows = table(spark, sf_dir, "lineitem").join(p, "l_partkey").join(keys, "p_name")
     order = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_shipdate", "key"))), lambda x: x["key"])
     lists = rows.groupBy("l_orderkey", "l_returnflag").agg(order.alias("items"))
     both = lists.where("l_returnflag = 'A'").select("l_orderkey", F.col("items").alias("a")).join(lists.where("l_returnflag = 'N'").select("l_orderkey", F.col("items").alias("b")), "l_orderkey")
-    found = both.withColumn("c", compare_lists(F.col("a"), F.col("b")))
+    found = with_comparison(both, "a", "b")
     return found.select(F.col("l_orderkey").alias("orderkey"), "c.kind", F.col("c.matched").cast("long").alias("matched"), F.array_join("c.only_a", "; ").alias("only_a"), F.array_join("c.only_b", "; ").alias("only_b"))
 
 

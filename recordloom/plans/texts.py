@@ -39,20 +39,40 @@ def close_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ENTITY = "replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '&middot;'), '&amp;', '&')"
+_ARTICLE_ENTITY = "replace(replace({}, '&quot;', '\"'), '&amp;', '&')"
 
 
-@query(rf"""
-    WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<(script|style|noscript|svg|iframe)\b.*?</(script|style|noscript|svg|iframe)>', '', 'gis'),
-                 '<!--.*?-->', '', 'gs'), '</?(?:br|p|div|li|ul|ol|h\d|tr|table|section|article|header|footer|nav|title)\b[^>]*>', chr(10), 'gi'), '<[^>]+>', '', 'g') AS s FROM pages),
-         l AS (SELECT page_id, list_filter(list_transform(regexp_split_to_array({_ENTITY.format('s')}, '\r\n|\r|\n'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM t)
-    SELECT page_id, len(lines) AS n_lines, lines[1] AS first_line, md5(array_to_string(lines, chr(10))) AS lines_md5 FROM l
-""")
-def html_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text lines of every page."""
-    p = table(spark, sf_dir, "pages").select("page_id", X.html_lines("html").alias("lines"))
+def _lines_sql(dropped: str, comments: bool, blocks: str, cut: str, entity: str) -> str:
+    """Pages as lines: elements dropped whole, then comments; an opening tag of a block begins a line; all other tags go."""
+    t = "coalesce(html, '')"
+    for tag in dropped.split("|"):
+        t = rf"regexp_replace({t}, '<{tag}\b.*?</{tag}>', '', 'gis')"
+    t = f"regexp_replace({t}, '<!--.*?-->', '', 'gs')" if comments else t
+    t = rf"regexp_replace(regexp_replace({t}, '<(?:{blocks})\b[^>]*>', chr(10), 'gi'), '<[^>]+>', '', 'g')"
+    return rf"list_filter(list_transform(regexp_split_to_array({entity.format(t)}, '{cut}'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '')"
+
+
+def _lines_query(lines: str) -> str:
+    return f"WITH l AS (SELECT page_id, {lines} AS lines FROM pages) SELECT page_id, len(lines) AS n_lines, lines[1] AS first_line, md5(array_to_string(lines, chr(10))) AS lines_md5 FROM l"
+
+
+def _lines(spark: SparkSession, sf_dir: str, lines) -> DataFrame:
+    p = table(spark, sf_dir, "pages").select("page_id", lines("html").alias("lines"))
     return p.select("page_id", F.size("lines").cast("long").alias("n_lines"), F.get("lines", F.lit(0)).alias("first_line"), F.md5(F.array_join("lines", "\n").cast("binary")).alias("lines_md5"))
 
 
+@query(_lines_query(_lines_sql("script|style|noscript", True, r"br|p|div|li|h\d|tr|table", r"\r\n|\r|\n", _ENTITY)))
+def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text lines of every page, read as an episode's page."""
+    return _lines(spark, sf_dir, X.page_lines)
+
+
+@query(_lines_query(_lines_sql("script|style|svg|noscript|iframe", False, r"br|p|div|li|h\d|tr", r"\n", _ARTICLE_ENTITY).replace("x <> ''", "x NOT IN ('', 'SoundCloud', 'YouTube')")))
+def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text lines of every page, read as an article's body."""
+    return _lines(spark, sf_dir, X.article_lines)
+
+
 @query(rf"""
     SELECT page_id, {_ENTITY.format("nullif(trim(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is')), '')")} AS title, regexp_extract(url, '^https?://([^/]+)', 1) AS host,
            len(regexp_extract_all(html, '<a\s', 0, 'i')) AS links, nullif(regexp_extract(html, '<meta\s[^>]*?(?:property|name)=["'']description["''][^>]*?content=["'']([^"'']*)["'']', 1, 'is'), '') AS description

@@ -64,7 +64,7 @@ def cue_songs(spark: SparkSession, path: str) -> DataFrame:
     Sheets without an album line may have it in the performer, as ``Artist [Album, Label]``.
     """
     raw = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), X.decode_utf8_or_cp1251("content").alias("text"))
-    blocks = raw.select("file", F.posexplode(F.slice(F.split("text", CUE_TRACK), 2, 10_000)).alias("pos", "block"))
+    blocks = raw.select("file", F.posexplode(F.split("text", CUE_TRACK)).alias("pos", "block")).where("pos > 0")
     field = lambda name: X.found("block", rf'(?m)^\s*{name}\s+"(.*)"\s*$')
     songs = blocks.select("file", "pos", field("TITLE").alias("title"), field("PERFORMER").alias("performer"), F.trim(X.found("block", r"(?m)^\s*REM \w*ALBUM[ \t]+(.*?)\s*$")).alias("album"))
     songs = songs.where(F.col("performer").isNotNull() & (F.col("performer") != "") & ~F.coalesce("title", F.lit("")).rlike(r"(?i)\A\(?Track \d+\)?\z"))
@@ -80,6 +80,30 @@ def cue_songs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def cue_sources(songs: DataFrame, base: str, urls: DataFrame | None = None, moved: DataFrame | None = None, ignored: tuple[str, ...] = ()) -> DataFrame:
+    """(file, number, moved_from, why, url, date, entries) of the sheets of ``cue_songs``, those of ``ignored`` files left out.
+
+    ``urls``: (url), a sheet's is the one that ends in its name, else ``base`` and its name. ``moved``: (file, number, why), sheets that are another episode's than their names say.
+    """
+    kept = songs.where(~F.col("file").isin(*ignored)) if ignored else songs
+    none = F.lit(None).cast("string")
+    line = entry_text(F.col("pos"), F.col("performer"), none, F.coalesce("title", F.lit("")), F.col("album"), F.col("label"))
+    lists = kept.groupBy("file", "number", "date").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))), lambda x: x["line"]).alias("entries"))
+    if urls is not None:
+        known = urls.where(F.trim("url") != "").groupBy(F.element_at(F.split(F.trim("url"), "/"), -1).alias("file")).agg(F.min(F.trim("url")).alias("_url"))
+        lists = lists.join(known, "file", "left")
+    else:
+        lists = lists.withColumn("_url", none)
+    if moved is not None:
+        lists = lists.join(moved.select("file", F.col("number").alias("_to"), "why"), "file", "left")
+    else:
+        lists = lists.withColumns({"_to": F.lit(None).cast("int"), "why": none})
+    return lists.select(
+        "file", F.coalesce("_to", "number").alias("number"), F.when(F.col("_to").isNotNull(), F.col("number")).alias("moved_from"), "why",
+        F.coalesce("_url", F.concat(F.lit(base.rstrip("/") + "/"), "file")).alias("url"), "date", "entries",
+    )
+
+
 def entry_text(number: Column, artist: Column, country: Column, title: Column, album: Column, label: Column) -> Column:
     """A playlist line of a song's parts, those that are null or empty left out."""
     some = lambda c, form: F.when(F.coalesce(c, F.lit("")) != "", F.format_string(form, c)).otherwise("")
@@ -135,8 +159,9 @@ ARTIST = "id bigint, name string, namevariations struct<name: array<string>>, al
 
 
 def records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """The elements of an XML dump, gzipped or not. A gzipped file is one task: repartition right after."""
-    return spark.read.schema(schema).option("rowTag", tag).xml(path)
+    """The elements of an XML dump, gzipped or not. A gzipped file can't be cut: one task reads it, and its records are dealt out to all before anything else is done with them."""
+    found = spark.read.schema(schema).option("rowTag", tag).xml(path)
+    return found.repartition(spark.sparkContext.defaultParallelism) if path.endswith(".gz") else found
 
 
 def _artists(c: Column) -> Column:
@@ -208,7 +233,7 @@ def articles(spark: SparkSession, path: str, body: str = '<div class="wsw">') ->
     """(file, title, published, lines) of article pages: the title and date of the page's metadata, the lines of its body."""
     raw = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
     with_body = raw.withColumn("_body", X.element_body("value", body))
-    return with_body.select("file", X.html_meta("value", "og:title").alias("title"), F.substring(X.found("value", r'"datePublished"\s*:\s*"([^"]*)"'), 1, 10).alias("published"), X.html_lines("_body").alias("lines"))
+    return with_body.select("file", X.html_meta("value", "og:title", "article").alias("title"), F.substring(X.found("value", r'"datePublished"\s*:\s*"([^"]*)"'), 1, 10).alias("published"), X.article_lines("_body").alias("lines"))
 
 
 def sections(lines: DataFrame, by: list[str], header: Column, within: int = 3) -> DataFrame:
@@ -220,9 +245,10 @@ def sections(lines: DataFrame, by: list[str], header: Column, within: int = 3) -
 
 def dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(spelling, pos, name) of a JSON object of strings, lists of strings or nulls; a null value gives one row without a name."""
-    raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string, string>")).alias("spelling", "value"))
-    listed = F.when(F.startswith("value", F.lit("[")), F.from_json("value", "array<string>")).when(F.col("value").isNotNull(), F.array("value")).otherwise(F.array(F.lit(None).cast("string")))
-    return raw.select("spelling", F.posexplode_outer(listed).alias("pos", "name"))
+    raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string, variant>")).alias("spelling", "value"))
+    kind = F.schema_of_variant("value")
+    listed = F.when(F.startswith(kind, F.lit("ARRAY")), F.try_variant_get("value", "$", "array<string>")).when(kind == "STRING", F.array(F.try_variant_get("value", "$", "string")))
+    return raw.select("spelling", F.posexplode_outer(F.coalesce(listed, F.array(F.lit(None).cast("string")))).alias("pos", "name"))
 
 
 def rule_list(spark: SparkSession, path: str, fields: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,19 @@ def nested(tracks: DataFrame, by: list[str], order: str, name: str = "tracks") -
 
 
 def write_json(rows: DataFrame, path: str) -> None:
-    """One JSON object a line; readers see the old files or the new ones."""
-    rows.write.mode("overwrite").json(path)
+    """One JSON object a line. Written whole beside ``path`` and then renamed into its place, so a run that is killed leaves the files of before, under their name or, between the
+    two renames, under it with ``.old`` behind. Where the store renames by copying (object stores), the second rename is not one step."""
+    spark, aside = rows.sparkSession, f"{path.rstrip('/')}.{uuid.uuid4().hex}.tmp"
+    rows.write.json(aside)
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    store, old = at(path).getFileSystem(spark._jsc.hadoopConfiguration()), f"{path.rstrip('/')}.old"
+    store.delete(at(old), True)
+    if store.exists(at(path)) and not store.rename(at(path), at(old)):
+        raise OSError(f"{path} could not be moved aside")
+    if not store.rename(at(aside), at(path)):
+        store.rename(at(old), at(path))
+        raise OSError(f"{aside} could not be renamed to {path}")
+    store.delete(at(old), True)
 
 
 def write_partitions(rows: DataFrame, path: str, by: str) -> None:

@@ -78,6 +78,8 @@ def test_lists(value):
     assert value(X.split_run_together(lines('15 a (b) "c" (domino)16 fraser fifield "x"'))) == ['15 a (b) "c" (domino)', '16 fraser fifield "x"']
     text = lines("hello", "1.", 'a "b"', "2. c cd d", "a note", '3 e "f"', "the end", "or so", '4 g "h"')
     assert value(X.entries_in(text)) == ['1. a "b"', "2. c cd d", '3 e "f"']
+    # a note is passed over only if the very next line is the next entry
+    assert value(X.entries_in(lines('1. a "b"', "a note", "2.", 'c "d"'))) == ['1. a "b"'] and value(X.entry_run(lines("x", "1.", 'a "b"')))["start"] == 2
     assert value(X.entries_among(text)) == ['1. a "b"', "2. c cd d", '3 e "f"', '4 g "h"']
     assert value(X.joined_brackets(lines("a [", "b]", "c"))) == ["a [b]", "c"]
     assert tuple(value(X.parts_of(lit("1. Nits (Holland) 'Three' x")))) == ("Nits", "Three") and tuple(value(X.parts_of(lit("2 A (B) «C» D")))) == ("A", "C")
@@ -96,7 +98,13 @@ def test_grammar(value, entry, want):
 
 
 def test_pages(value):
-    assert value(X.html_lines(lit("<p>a &amp; b&#33;<br>c<script>x</script> &unknown; <!-- z -->"))) == ["a & b!", "c &unknown;"]
+    assert value(X.page_lines(lit("<p>a &amp; b&#33;<br>c<script>x</script> &unknown; <!-- z -->"))) == ["a & b!", "c &unknown;"]
+    # opening tags alone begin a line, and only those listed
+    assert value(X.page_lines(lit("<b>x</b><p>a</p>b<ul><li>c</ul>&bdquo;d&copy;<table>e"))) == ["x", "ab", "c„d©", "e"]
+    assert value(X.article_lines(lit("<b>x</b><p>a</p>b<p>YouTube</p><p>&bdquo;d<table>e<svg><p>no</svg><!-- c --><p>Установить<p>z"))) == ["x", "ab", "&bdquo;de", "z"]
+    assert value(X.xml_element(lit("<t>a &amp;amp; &laquo;b&#33;&#x21;</t>"), "t")) == "a &amp; &laquo;b!&#x21;"
+    assert value(X.decode_entities(lit("&#x41;&#66; &LT; &lt; &nbsp;"), "dump")) == "AB &LT; < &nbsp;" and value(X.decode_entities(lit("&LT;&nbsp;|&copy;"), "article")) == "< |&copy;"
+    assert value(X.html_meta(lit("""<meta content="it's &quot;A&quot;" property="og:title">"""), "og:title")) == 'it\'s "A"'
     assert value(X.xml_element(lit("<t><![CDATA[a&b]]></t>"), "t")) == "a&b" and value(X.xml_element(lit("<t> </t>"), "t")) is None
     assert value(X.element_body(lit('x<div class="w">a<div>b</div>c</div>d'), '<div class="w">')) == "a<div>b</div>c"
     assert value(X.decode_russian(F.lit(bytearray("сторона новости".encode("cp866")))))["encoding"] == "cp866"
@@ -106,18 +114,48 @@ def test_pages(value):
 KEY = st.text("abcde", max_size=12)
 
 
+def edits(a, b):
+    cost = {(i, j): i or j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i * j}
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            cost[i, j] = min(cost[i - 1, j] + 1, cost[i, j - 1] + 1, cost[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+    return cost[len(a), len(b)]
+
+
+def alike(x, y):
+    if not (x and y):
+        return x == y
+    within = min(len(x), len(y)) >= 4 and (x in y or y in x)
+    return x == y or within or edits(x, y) <= max(2, int(0.3 * max(len(x), len(y))))
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.tuples(KEY, KEY), min_size=1, max_size=30))
 def test_similar_is_one_predicate(spark, pairs):
     rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", Z.similar(F.col("a"), F.col("b")).alias("s"), Z.close(F.col("a"), F.col("b")).alias("c"), Z.close(F.col("b"), F.col("a")).alias("d")).collect()
     for r in rows:
-        assert r.s == align.similar(r.a, r.b) and r.c == r.d
+        assert r.s == alike(r.a, r.b) and r.c == r.d
+
+
+def compared(spark, *pairs):
+    rows = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a array<string>, b array<string>")
+    return [r.c and r.c.asDict() for r in align.with_comparison(rows, "a", "b").orderBy("k").collect()]
+
+
+def test_alignment(spark, value):
+    got = compared(spark, (["nits", "beirut", "national"], ["nits", "beirut", "national"]), (["nits", "beirut"], ["beirut", "nits"]), (["nits", "beirut"], ["nits", "zzzzzzz"]), (["nits"], []), ([], []), (None, ["a"]))
+    assert [x and x["kind"] for x in got] == ["agree", "order", "artists", "count", "agree", None]
+    assert got[2] == {"kind": "artists", "matched": 1, "only_a": ["beirut"], "only_b": ["zzzzzzz"], "reordered": []}
+    assert got[3]["only_a"] == ["nits"]
+    lists = [F.array(*map(F.lit, x)) for x in (["aaaa", "bbbbbbb", "cccccc"], ["bbbbbbb", "aaaa", "cccccc"])]
+    assert [tuple(p) for p in value(align.alignment(*lists))] == [(1, 0), (2, 2)]
+
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.lists(KEY, max_size=5), st.lists(KEY, max_size=5)), min_size=1, max_size=20))
+def test_alignments_are_longest(spark, pairs):
+    from itertools import combinations
 
-def test_alignment(spark):
-    assert align.compared(["nits", "beirut", "national"], ["nits", "beirut", "national"])["kind"] == "agree"
-    assert align.compared(["nits", "beirut"], ["beirut", "nits"])["kind"] == "order"
-    assert align.compared(["nits", "beirut"], ["nits", "zzzzzzz"]) == {"kind": "artists", "matched": 1, "only_a": ["beirut"], "only_b": ["zzzzzzz"], "reordered": []}
-    assert align.aligned(["aaaa", "bbbbbbb", "cccccc"], ["bbbbbbb", "aaaa", "cccccc"]) == [(1, 0), (2, 2)]
-    got = spark.range(1).select(align.compare_lists(F.array(F.lit("nits")), F.array().cast("array<string>")).alias("c")).first()["c"]
-    assert got["kind"] == "count" and got["only_a"] == ["nits"]
+    for (a, b), c in zip(pairs, compared(spark, *pairs)):
+        most = max(n for n in range(min(len(a), len(b)) + 1) if any(all(alike(a[i], b[j]) for i, j in zip(x, y)) for x in combinations(range(len(a)), n) for y in combinations(range(len(b)), n)))
+        assert c["matched"] == most and len(c["only_a"]) == len(a) - most and len(c["only_b"]) == len(b) - most
