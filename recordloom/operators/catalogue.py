@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fuzzy as Z
 from ..functions import textkeys as K
 from .audit import mode_or_null
+from .durable import keep
 from .pick import best, first_rows, release_rank, release_year
 
 # Words that mark a version as not the studio's; the two sources' lists differ.
@@ -89,9 +90,9 @@ def find_song(tracks: DataFrame, searched: DataFrame, catalogue: DataFrame, albu
     A weak match is replaced only by a better one. ``searched`` and ``catalogue`` are pairs as ``pick_song`` has them; ``albums``: (key, collection_id, own, pos), already
     those of the host's title; ``album_songs``: (collection_id, id, c_forms, released, own_artist, pos).
     """
-    one = pick_song(searched, key)
+    one = keep(pick_song(searched, key))
     open_ = tracks.select(key).join(one.where("not weak").select(key), key, "left_anti")
-    two = pick_song(searched.unionByName(catalogue).join(open_, key, "left_semi"), key)
+    two = keep(pick_song(searched.unionByName(catalogue).join(open_, key, "left_semi"), key))
     use = two.join(one.select(key, F.lit(True).alias("_had")), key, "left").where(F.col("_had").isNull() | ~F.col("weak")).drop("_had")
     chosen = use.withColumn("via", F.lit("catalogue")).unionByName(one.join(use, key, "left_anti").withColumn("via", F.lit("search")))
     chosen = chosen.withColumn("via", F.when(F.col("near"), "near").otherwise(F.col("via")))

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import audits, dictionaries, orders, picks, resolution, texts  # noqa: F401
+from . import audits, dictionaries, lookups, names, orders, picks, resolution, texts  # noqa: F401
