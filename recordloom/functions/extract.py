@@ -167,9 +167,9 @@ def episode_number(title: Column | str) -> Column:
 
 
 def header_number(c: Column | str) -> Column:
-    """The number in "выпуск 141", "#356", "№ 200" or "307-го выпуска"."""
-    c = _col(c)
-    return F.coalesce(*(found(c, p).cast("int") for p in (r"(?iu)выпуск\s*[#№]?\s*(\d+)", r"[#№]\s*(\d+)", r"(?iu)(\d+)-?(?:го|й|ый)?\s+выпуск")))
+    """The number in "выпуск 141", "#356", "№ 200" or "307-го выпуска", whichever comes first."""
+    c, either = _col(c), r"(?iu)(?:выпуск\S*|#|№)\s*(\d+)|(\d+)(?:\s*-?\s*(?:го|й|ый|ой))?\s+выпуск"
+    return F.coalesce(F.nullif(found(c, either, 1), F.lit("")), F.nullif(found(c, either, 2), F.lit(""))).cast("int")
 
 
 def split_once(c: Column | str, at: str = " - ") -> Column:

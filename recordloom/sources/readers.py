@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import extract as X
 from ..functions import textkeys as K
 
-PLAYLIST_NAME = r"(\d+|\d{4}-\d{2}-\d{2})\.txt\z"
+PLAYLIST_NAME = r"(?:\A|/)(\d+|\d{4}-\d{2}-\d{2})\.txt\z"
 HEADER = r"\A(?:(?:url|date|title|note): [^\n]*\n)*"
 
 
@@ -27,8 +27,12 @@ def playlists(spark: SparkSession, path: str) -> DataFrame:
 
     In the order of ``newest_first`` when sorted by it.
     """
-    raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    found = raw.where(F.col("path").rlike(PLAYLIST_NAME))
+    return playlist_rows(spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path")))
+
+
+def playlist_rows(files: DataFrame) -> DataFrame:
+    """``playlists`` of (path, value)."""
+    found = files.where(F.col("path").rlike(PLAYLIST_NAME))
     stem = F.regexp_extract("path", PLAYLIST_NAME, 1)
     special = F.contains(stem, F.lit("-"))
     # a header's last line may end the file
@@ -63,7 +67,12 @@ def cue_songs(spark: SparkSession, path: str) -> DataFrame:
 
     Sheets without an album line may have it in the performer, as ``Artist [Album, Label]``.
     """
-    raw = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), X.decode_utf8_or_cp1251("content").alias("text"))
+    return cue_rows(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def cue_rows(files: DataFrame) -> DataFrame:
+    """``cue_songs`` of (path, content)."""
+    raw = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), X.decode_utf8_or_cp1251("content").alias("text"))
     blocks = raw.select("file", F.posexplode(F.split("text", CUE_TRACK)).alias("pos", "block")).where("pos > 0")
     field = lambda name: X.found("block", rf'(?m)^\s*{name}\s+"(.*)"\s*$')
     songs = blocks.select("file", "pos", field("TITLE").alias("title"), field("PERFORMER").alias("performer"), F.trim(X.found("block", r"(?m)^\s*REM \w*ALBUM[ \t]+(.*?)\s*$")).alias("album"))
@@ -231,8 +240,12 @@ def feed(spark: SparkSession, path: str) -> DataFrame:
 
 def articles(spark: SparkSession, path: str, body: str = '<div class="wsw">') -> DataFrame:
     """(file, title, published, lines) of article pages: the title and date of the page's metadata, the lines of its body."""
-    raw = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
-    with_body = raw.withColumn("_body", X.element_body("value", body))
+    return article_rows(spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value"), body)
+
+
+def article_rows(files: DataFrame, body: str = '<div class="wsw">') -> DataFrame:
+    """``articles`` of (file, value)."""
+    with_body = files.withColumn("_body", X.element_body("value", body))
     return with_body.select("file", X.html_meta("value", "og:title", "article").alias("title"), F.substring(X.found("value", r'"datePublished"\s*:\s*"([^"]*)"'), 1, 10).alias("published"), X.article_lines("_body").alias("lines"))
 
 
