@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -198,16 +197,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 
 def _leaked(shared):
-    @F.pandas_udf("boolean")
-    def leaked(texts: pd.Series) -> pd.Series:
-        raw = pa.array([x or b"" for x in texts], pa.binary())
+    @F.arrow_udf("boolean")
+    def leaked(raw: pa.Array) -> pa.Array:
         out = np.zeros(len(raw), bool)
         at = 0
         for part in by_bytes(iter([pa.record_batch([raw], ["raw"])]), "raw"):
             for d, _ in shared.value.leaks(part.column("raw")):
                 out[at + d] = True
             at += part.num_rows
-        return pd.Series(out)
+        return pa.array(out)
 
     return leaked
 

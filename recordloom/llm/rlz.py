@@ -93,53 +93,61 @@ def hits(rows: DataFrame, plain: DataFrame, several: bool, width: int) -> DataFr
     return behind(copies).unionByName(behind(referred(seen.withColumn("many", F.lit(1).cast("long")), earliest, ["anchor", "window"])))
 
 
-def parse(start: np.ndarray, many: np.ndarray, ref: np.ndarray, which: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """The factors (first window, windows, ref, at) of one document from its hits, in order."""
-    if not len(start):
-        return []
-    order = np.lexsort((start, at - start, which, ref))
-    start, many, ref, which, at = (x[order] for x in (start, many, ref, which, at))
-    # hits in step, each beginning where the ones before end at the latest, are one match
-    step = np.flatnonzero((np.diff(ref) != 0) | (np.diff(which) != 0) | (np.diff(at - start) != 0)) + 1
-    matches: list[tuple[int, int, int, int]] = []
-    for a, b in zip([0, *step.tolist()], [*step.tolist(), len(start)], strict=True):
-        reach = np.maximum.accumulate(start[a:b] + many[a:b])
-        heads = np.flatnonzero(np.append(True, start[a + 1 : b] > reach[:-1]))
-        ends = reach[np.append(heads[1:], b - a) - 1]
-        matches += zip(start[a + heads].tolist(), ends.tolist(), ref[a + heads].tolist(), at[a + heads].tolist(), strict=True)
-    matches.sort()
-    out: list[tuple[int, int, int, int]] = []
-    best, done, k = (0, 0, 0, 0), 0, 0
+def matches(doc: np.ndarray, start: np.ndarray, many: np.ndarray, ref: np.ndarray, which: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(doc, first window, end, ref, at): hits in step, each beginning where the ones before end at the latest, are one match. In order of document and place."""
+    order = np.lexsort((start, at - start, which, ref, doc))
+    doc, start, end, ref, which, at = (x[order] for x in (doc, start, start + many, ref, which, at))
+    other = np.ones(len(doc), bool)
+    for x in (doc, ref, which, at - start):
+        other[1:] &= x[1:] == x[:-1]
+    line = np.cumsum(~other | (np.arange(len(doc)) == 0)) if len(doc) else np.zeros(0, np.int64)
+    # the farthest end so far on a line: lines are kept apart by an offset that no place reaches
+    far = int(end.max()) + 1 if len(doc) else 1
+    reach = np.maximum.accumulate(end + line * far) - line * far
+    head = np.ones(len(doc), bool)
+    head[1:] = (line[1:] != line[:-1]) | (start[1:] > reach[:-1])
+    heads = np.flatnonzero(head)
+    ends = reach[np.append(heads[1:], len(doc)) - 1] if len(heads) else reach[:0]
+    back = np.lexsort((start[heads], doc[heads]))
+    return tuple(x[back] for x in (doc[heads], start[heads], ends, ref[heads], at[heads]))
+
+
+def parse(doc: np.ndarray, start: np.ndarray, many: np.ndarray, ref: np.ndarray, which: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The factors (doc, first window, windows, ref, at) of a batch of documents from their hits, greedily and in order."""
+    out: list[tuple[int, int, int, int, int]] = []
+    found = list(zip(*(x.tolist() for x in matches(doc, start, many, ref, which, at)), strict=True))
+    best, done, k, now = (0, 0, 0, 0), 0, 0, -1
     while True:
-        while k < len(matches) and matches[k][0] <= done:
-            best = max(best, matches[k], key=lambda m: m[1])
+        while k < len(found) and found[k][0] == now and found[k][1] <= done:
+            if found[k][2] > best[1]:
+                best = found[k][1:]
             k += 1
         if best[1] > done:
-            out.append((done, best[1] - done, best[2], best[3] + done - best[0]))
+            out.append((now, done, best[1] - done, best[2], best[3] + done - best[0]))
             done = best[1]
-        elif k < len(matches):
-            done = matches[k][0]
-        else:
+        elif k == len(found):
             return out
+        else:
+            # no match covers the next window: on to the next one that begins, here or in another document
+            best = best if found[k][0] == now else (0, 0, 0, 0)
+            now, done = found[k][:2]
 
 
-def factors_of(found: pa.ListArray) -> list[list[tuple[int, int, int, int]]]:
-    """The factors of each document of a batch."""
-    out = []
-    for each in found:
-        fields = each.values
-        out.append(parse(*(fields.field(k).to_numpy(zero_copy_only=False) for k in range(len(HIT)))) if each.is_valid else [])
-    return out
+def factors_of(found: pa.ListArray) -> list[tuple[int, int, int, int, int]]:
+    """The factors of a batch of documents, from their lists of hits."""
+    doc = np.repeat(np.arange(len(found)), found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    flat = found.flatten()
+    return parse(doc, *(flat.field(k).to_numpy(zero_copy_only=False) for k in range(len(HIT))))
 
 
-def kept_words(data: np.ndarray, offsets: np.ndarray, factors: list[list[tuple[int, int, int, int]]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[memoryview]]:
+def kept_words(data: np.ndarray, offsets: np.ndarray, factors: list[tuple[int, int, int, int, int]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[memoryview]]:
     """(first-word indexes, words removed of each text, whether each word goes, the kept words of each text joined by a space)."""
     starts, ends, first = words(data, offsets)
     step = np.zeros(len(starts) + 1, np.int32)
-    for d, each in enumerate(factors):
-        for start, many, _, _ in each:
-            step[first[d] + start] += 1
-            step[first[d] + start + many - 1 + width] -= 1
+    if factors:
+        doc, start, many = np.array(factors, np.int64).T[:3]
+        np.add.at(step, first[doc] + start, 1)
+        np.add.at(step, first[doc] + start + many - 1 + width, -1)
     gone = np.cumsum(step[:-1]) > 0
     stays = ~gone
     removed = np.concatenate([[0], np.cumsum(gone)])[first]
@@ -177,7 +185,9 @@ def remover(width: int, full: bool):
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]])))
                     runs.append([{"start": int(x), "words": int(y - x)} for x, y in zip(edge[::2], edge[1::2], strict=True)])
-                referred = [[{"start": s, "words": n - 1 + width, "document": None if r == NO_ID else r, "at": p} for s, n, r, p in each] for each in factors]
+                referred: list[list[dict]] = [[] for _ in ids]
+                for d, s, n, r, p in factors:
+                    referred[d].append({"start": s, "words": n - 1 + width, "document": None if r == NO_ID else r, "at": p})
                 run_kind, factor_kind = (pa.list_(pa.struct([(c, pa.int64()) for c in names])) for names in (("start", "words"), ("start", "words", "document", "at")))
                 out |= {"kept": pa.array([bytes(k).decode("utf-8", "replace") for k in kept], pa.string()), "spans": pa.array(runs, run_kind), "factors": pa.array(referred, factor_kind)}
             yield pa.RecordBatch.from_pydict(out)
@@ -217,8 +227,9 @@ def stripped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
         out: list[bytes] = []
         for batch in opened(iter([pa.record_batch([texts_, found], ["packed", "spans"])])):
             factors = factors_of(batch.column("spans"))
-            for whole, each, rest in zip(batch.column("raw"), factors, kept_words(*spans(batch.column("raw")), factors, width)[-1], strict=True):
-                out.append(bytes(rest) if each else whole.as_py())
+            cut = {f[0] for f in factors}
+            for d, (whole, rest) in enumerate(zip(batch.column("raw"), kept_words(*spans(batch.column("raw")), factors, width)[-1], strict=True)):
+                out.append(bytes(rest) if d in cut else whole.as_py())
         done = pa.array(out, pa.binary())
         give_back()
         return done

@@ -191,10 +191,12 @@ def test_factors(spark):
 
 def test_the_parse_is_greedy():
     array = lambda *x: np.array(x, np.int64)
-    # document 1 matches windows 0 to 4, document 2 windows 3 to 9, document 3 window 4 alone and 20
-    found = parse(array(3, 0, 3, 4, 20), array(7, 3, 2, 1, 1), array(2, 1, 1, 3, 3), array(0, 0, 0, 0, 0), array(13, 100, 103, 0, 7))
-    assert found == [(0, 5, 1, 100), (5, 5, 2, 15), (20, 1, 3, 7)]
-    assert parse(*[array()] * 5) == []
+    # document 1 matches windows 0 to 4, document 2 windows 3 to 9, document 3 window 4 alone and 20; another text begins anew
+    found = parse(array(0, 0, 0, 0, 0, 1), array(3, 0, 3, 4, 20, 2), array(7, 3, 2, 1, 1, 4), array(2, 1, 1, 3, 3, 2), array(0, 0, 0, 0, 0, 0), array(13, 100, 103, 0, 7, 12))
+    assert found == [(0, 0, 5, 1, 100), (0, 5, 5, 2, 15), (0, 20, 1, 3, 7), (1, 2, 4, 2, 12)]
+    assert parse(*[array()] * 6) == []
+    # hits on one line with a gap are two matches, and lines of several texts don't run together
+    assert parse(array(0, 0, 1), array(0, 5, 6), array(2, 1, 1), array(7, 7, 7), array(0, 0, 0), array(0, 5, 6)) == [(0, 0, 2, 7, 0), (0, 5, 1, 7, 5), (1, 6, 1, 7, 6)]
 
 
 def test_clashing_names_and_other_keys(spark):
