@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import audits, dictionaries, files, lookups, names, orders, picks, releases, resolution, texts  # noqa: F401
+from . import audits, dictionaries, files, lookups, names, orders, picks, releases, resolution, texts, upkeep  # noqa: F401
