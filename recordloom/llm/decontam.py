@@ -29,8 +29,10 @@ OVERLAP, PART, WHOLE = 13, 4, 5
 SIMILARITY = PART / WHOLE
 #: Of a substituted token in the best-scoring run, which a test still looks for; the search doesn't use it.
 PENALTY = -2
-#: Bytes of benchmark text indexed at a time.
-BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text indexed at a time. The index of a block has 104 bytes a token: some 70 MB.
+BLOCK_BYTES = 4 << 20
+#: Hits that are expanded at a time.
+MOST_HITS = 1 << 20
 
 SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -67,14 +69,14 @@ class Index:
             at = np.flatnonzero(fits)
             order = np.argsort(h[at], kind="stable")
             hashes.append(h[at][order])
-            places.append(at[order])
+            places.append(at[order].astype(np.int32))
             bits = np.zeros(1 << 18, bool)
             bits[(hashes[-1] >> np.uint64(46)).astype(np.int64)] = True
             present.append(bits)
         return Index(ids, tokens, first, masks, hashes, places, present)
 
     def hits(self, tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(token of the documents, token of the benchmark) for each mask; ``ends``: of the document of each token."""
+        """(token of the documents, token of the benchmark), MOST_HITS at a time or those of one place; ``ends``: of the document of each token."""
         for m, hashes, places, present in zip(self.masks, self.hashes, self.places, self.present, strict=True):
             h = seed_hashes(tokens, m)
             if not len(h) or not len(hashes):
@@ -84,24 +86,33 @@ class Index:
             low, high = np.searchsorted(hashes, h[at], "left"), np.searchsorted(hashes, h[at], "right")
             each = high - low
             at, low, each = at[each > 0], low[each > 0], each[each > 0]
-            row = np.repeat(np.arange(len(at)), each)
-            yield at[row], places[low[row] + np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)]
+            upto, k = np.cumsum(each), 0
+            while k < len(at):
+                end = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + MOST_HITS, "right")))
+                n = each[k:end]
+                row = np.repeat(np.arange(k, end), n)
+                yield at[row], places[low[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)].astype(np.int64)
+                k = end
+
+    def diagonals(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Rows (document, item, shift) along which there is any hit, each once. A very common seed has many hits, but no more diagonals than the two texts have tokens."""
+        ends = np.repeat(first[1:], np.diff(first))
+        found = np.zeros((0, 3), np.int64)
+        held: list[np.ndarray] = []
+        for at, place in self.hits(tokens, ends):
+            doc, item = np.searchsorted(first, at, "right") - 1, np.searchsorted(self.first, place, "right") - 1
+            held.append(np.unique(np.stack([doc, item, at - place], axis=1), axis=0))
+            if sum(map(len, held)) > max(MOST_HITS, len(found)):
+                found, held = np.unique(np.concatenate([found, *held]), axis=0), []
+        return np.unique(np.concatenate([found, *held]), axis=0) if held else found
 
     def leaks(self, raw: pa.Array) -> dict[tuple[int, int], tuple[int, int, int]]:
         """(document, item) to (equal tokens, tokens of the run, first token in the document) of the best run."""
         tokens, first = tokenize(raw)
         if not len(tokens) or not len(self.tokens):
             return {}
-        ends = np.repeat(first[1:], np.diff(first))
-        pairs = [np.stack(x) for x in self.hits(tokens, ends)]
-        if not pairs:
-            return {}
-        at, place = np.concatenate(pairs, axis=1)
-        doc = np.searchsorted(first, at, "right") - 1
-        item = np.searchsorted(self.first, place, "right") - 1
-        diagonals = np.unique(np.stack([doc, item, at - place]), axis=1)
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for d, i, shift in diagonals.T.tolist():
+        for d, i, shift in self.diagonals(tokens, first).tolist():
             low = max(int(self.first[i]), int(first[d]) - shift)
             high = min(int(self.first[i + 1]), int(first[d + 1]) - shift)
             same = tokens[low + shift : high + shift] == self.tokens[low:high]

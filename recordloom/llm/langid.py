@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.durable import keep
 from .textscan import by_bytes, spans
 
 WINDOW, WIDTHS, FILTERS, EMBED = 160, (2, 3, 4), 12, 6
@@ -135,15 +136,16 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     # the first of a language are among the first of its parts, so no task sees more than those
     for by in (["lang", F.pmod("hash", F.lit(16))], ["lang"]):
         chosen = chosen.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("hash", "id"))).where(F.col("place") <= ROWS_A_LANGUAGE)
-    ids = {(r.id, r.lang) for r in chosen.limit(ROWS_A_LANGUAGE * MOST_LANGUAGES + 1).collect()}
-    if not ids:
+    chosen = keep(chosen.select("id", "lang"))
+    langs = sorted(r.lang for r in chosen.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if not langs:
         return None
-    langs = sorted({x for _, x in ids})
     if len(langs) > MOST_LANGUAGES:
         raise ValueError("too many languages")
     at = [F.substring(F.col(text), 1 + F.floor(F.length(text) * i / WINDOWS_A_ROW).cast("int"), F.lit(WINDOW)) for i in range(WINDOWS_A_ROW)]
-    rows = learn.where(F.col(key).isin(sorted({x for x, _ in ids}))).select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.array(*at).alias("pieces"))
-    found = sorted({(r.id, r.lang, tuple(r.pieces)) for r in rows.collect() if (r.id, r.lang) in ids})
+    # at most ROWS_A_LANGUAGE * MOST_LANGUAGES ids: short enough to broadcast and to collect
+    rows = learn.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.array(*at).alias("pieces")).join(F.broadcast(chosen), ["id", "lang"], "left_semi")
+    found = sorted({(r.id, r.lang, tuple(r.pieces)) for r in rows.collect()})
     raw = [(p.encode()[:WINDOW], langs.index(name)) for _, name, pieces in found for p in dict.fromkeys(pieces) if p.strip()]
     x = np.zeros((len(raw), WINDOW), np.uint8)
     for i, (p, _) in enumerate(raw):
@@ -174,7 +176,8 @@ def predictor(net: Network | None):
 def identify(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, lang_pred, score (0 to 1) for every row.
 
-    A text that is null or has no letter is ``und`` with score 0; so is every text if nothing could be learnt. Only the
+    A text that is null or has no letter is ``und`` with score 0; so is every text if nothing could be learnt. Of languages with equal probabilities the first in
+    order of their names is taken. Only the
     text's bytes are an input of a prediction. Repeated rows are predicted each; a null key is kept and not held out; extra columns are not
     read; an empty table gives no rows.
     """

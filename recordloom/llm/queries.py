@@ -86,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from . import oracles
 
-    return {"op2_sharding": oracles.SHARDING, "op3_warc": oracles.WARC, "op4_substring_dedup": oracles.SUBSTRINGS, "op10_suffix_dedup": oracles.SUFFIXES}
+    return {"op1_simhash": oracles.SIMHASH, "op8_decontamination": oracles.LEAKS, "op2_sharding": oracles.SHARDING, "op3_warc": oracles.WARC, "op4_substring_dedup": oracles.SUBSTRINGS, "op10_suffix_dedup": oracles.SUFFIXES}

@@ -57,37 +57,45 @@ def jump_hash(key: Column, *shards: int) -> Column:
     return F.coalesce(sure, F.raise_error(F.lit("more jumps than MOST_JUMPS")).cast(f"struct<{','.join(f's{i}:int' for i in range(len(shards)))}>")) if most > MOST_JUMPS else sure
 
 
-def slots(rows: DataFrame, group: str, order: list[str], buckets: int, out: str = "slot") -> DataFrame:
-    """Gapless numbers from 0 within each ``group``, without sorting a group in one task.
+#: Parts of a shard, by which its rows are numbered.
+PARTS = 4096
 
-    A group is cut into ``buckets`` by a hash of the order columns; rows are numbered within (group, bucket), and the
-    counts of the buckets before give the offset. Rows come out partitioned by (group, bucket), so the small table of
-    offsets joins without moving them again. Rows equal in all order columns share a bucket and get consecutive numbers.
+
+def part_of(key: Column, more: Column) -> Column:
+    """A number below PARTS: the first step of a key's walk, its upper bits, and some number besides, so that one key's rows are not all in one part."""
+    key = F.coalesce(key.cast("long"), F.lit(0).cast("long"))
+    _, high = _times(key.bitwiseAND(_MASK), F.shiftrightunsigned(key, 32))
+    return F.pmod(F.shiftright(high, 20) + more, F.lit(PARTS)).cast("int")
+
+
+def slots(rows: DataFrame, group: str, part: str, order: list[str], out: str = "slot") -> DataFrame:
+    """Gapless numbers from 0 within each ``group``, in order of (part, order), without sorting a group in one task.
+
+    Rows are numbered within (group, part), and the counts of the parts before give the offset: a table of at most groups times parts rows, whatever the
+    number of rows. Rows come out partitioned by (group, part), so the offsets join without moving them again. Rows equal in all
+    order columns share a part and get consecutive numbers.
     """
-    cut = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    sizes = cut.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_before"))
-    inside = Window.partitionBy(group, "_bucket").orderBy(*order)
-    numbered = cut.withColumn("_nth", F.row_number().over(inside).cast("long") - 1)
-    joined = numbered.join(offsets, [group, "_bucket"])
-    return joined.withColumn(out, F.col("_before") + F.col("_nth")).drop("_bucket", "_nth", "_before")
+    sizes = rows.groupBy(group, part).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(group, part, F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_before"))
+    inside = Window.partitionBy(group, part).orderBy(*order)
+    numbered = rows.withColumn("_nth", F.row_number().over(inside).cast("long") - 1)
+    return numbered.join(offsets, [group, part]).withColumn(out, F.col("_before") + F.col("_nth")).drop("_nth", "_before")
 
 
-def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", rows_a_bucket: int = 50_000) -> DataFrame:
+def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, size, text_crc32, law, shard, slot, grown_shard.
 
     The law is ``key``: the shard depends on the key and the number of shards alone, and with one more shard a row
-    stays or goes to the new one. size: UTF-8 bytes of the text (null: none) plus 8. A null text has the checksum of the empty
+    stays or goes to the new one. The slot numbers a shard's rows by (part, key, size, checksum); see ``part_of``. size: UTF-8 bytes of the text (null: none) plus 8. A null text has the checksum of the empty
     text. A null key is hashed as 0 and kept. Repeated rows share a shard and get slots of their own. Extra columns are not read. An empty
     table gives no rows.
     """
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(
-        F.col(key), (F.octet_length(raw).cast("long") + 8).alias("size"), F.crc32(raw).cast("long").alias("text_crc32"),
-        jump_hash(F.col(key), shards, shards + 1).alias("_to"),
+        F.col(key).alias("key"), (F.octet_length(raw).cast("long") + 8).alias("size"), F.crc32(raw).cast("long").alias("text_crc32"),
+        jump_hash(F.col(key), shards, shards + 1).alias("to"),
     )
-    rows = rows.select(key, "size", "text_crc32", F.lit("key").alias("law"), F.col("_to.s0").alias("shard"), F.col("_to.s1").alias("grown_shard"))
-    buckets = max(1, -(-docs.count() // (shards * rows_a_bucket)))
-    placed = slots(rows, "shard", [key, "size", "text_crc32"], buckets)
-    return placed.select(key, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    rows = rows.select("key", "size", "text_crc32", F.lit("key").alias("law"), F.col("to.s0").alias("shard"), F.col("to.s1").alias("grown_shard"), part_of(F.col("key"), F.col("text_crc32")).alias("part"))
+    placed = slots(rows, "shard", "part", ["key", "size", "text_crc32"])
+    return placed.select(F.col("key").alias(key), "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -9,6 +9,7 @@ library's batch encoder together, and only their lengths are kept.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ def counter(path: str):
     """A mapInArrow function: (id, raw binary) to (id, n_bytes, n_tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a task has one core: the library's own pool of threads would run beside it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         safe(path)

@@ -19,6 +19,6 @@ def test_query(spark, sf, name):
         assert len(got)
         return
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     assert rows(got) == rows(con.execute(Q.oracle_sql()[name]).fetchdf())

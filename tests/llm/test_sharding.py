@@ -19,7 +19,7 @@ def rows(df):
 def test_matches_the_published_walk(spark):
     docs = spark.createDataFrame([(k * 7919 - 3_000_000, "é" * (k % 5)) for k in range(2000)] + [(2**63 - 1, "x"), (-(2**63), None)], "doc_id long, text string")
     for n in (1, 2, 24, 1000):
-        out = rows(shard(docs, n, rows_a_bucket=50))
+        out = rows(shard(docs, n))
         assert len(out) == 2002
         for r in out:
             assert r["shard"] == jump(r["doc_id"], n) and r["grown_shard"] == jump(r["doc_id"], n + 1)
