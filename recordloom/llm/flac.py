@@ -4,9 +4,10 @@ A frame's samples follow one another bit by bit, but frames are independent, and
 over all frames of a batch in step: one numpy operation reads the next Rice code of every frame. It checks the header checksum (CRC-8) and the
 frame checksum (CRC-16) of each frame and the MD5 of each stream, knows constant, verbatim, fixed and linear-prediction
 subframes with partitioned Rice residuals and escapes, and puts out PCM blocks with their first sample's offset. The
-encoder writes constant, verbatim and fixed subframes of order 0 to 2, whichever is smallest.
+encoder writes constant, verbatim, fixed (order 0 to 2) and linear-prediction subframes (order LINEAR, coefficients by Levinson's recursion), whichever
+is smallest, with the residuals in one Rice partition or in four.
 
-Streams have one channel. Format: RFC 9639.
+Both work through FRAMES frames at a time, so the tables of a long text are no larger than those of a short one. Streams have one channel. Format: RFC 9639.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .textscan import by_bytes
 
-#: Samples of a frame, and payload bytes coded together.
-FRAME, BATCH_BYTES = 512, 1 << 19
+#: Samples of a frame, payload bytes coded together, and frames that are.
+FRAME, BATCH_BYTES, FRAMES = 512, 1 << 19, 1024
+#: Order of linear predictors, bits of a coefficient with its sign, and the shift of all coefficients; Rice partitions of a frame that has more than one.
+LINEAR, PRECISION, SHIFT, PARTITIONS = 4, 12, 9, 4
 RATE = 8000
 #: Fixed values of the format: generator polynomials of the two checksums.
 CRC8, CRC16 = 0x07, 0x8005
@@ -73,75 +76,134 @@ def _header(number: int, size: int) -> bytes:
     return head + bytes([int(checksums(raw, np.array([0]), np.array([len(raw)]), 8, CRC8)[0])])
 
 
-def _rice(left: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Zigzag codes, the Rice parameter and the bits of each row of residuals."""
+def _rice(left: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Zigzag codes, the Rice parameters of the partitions, how many there are (1 or PARTITIONS), and the bits of each row of residuals with the parameters."""
+    n, long = inside.shape
     code = np.where(inside, left << 1 ^ left >> 31, 0)
-    n = inside.sum(axis=1)
-    mean = code.sum(axis=1) / np.maximum(n, 1)
-    k = np.clip(np.log2(np.maximum(mean * 0.7, 1)).astype(np.int64), 0, 14)
-    return code, k, (code >> k[:, None]).sum(axis=1, dtype=np.int64) + n * (1 + k)
 
-
-def encode(payloads: list[bytes]) -> list[bytes]:
-    """A FLAC stream of 8-bit samples, byte - 128 each, for every non-empty payload."""
-    size = np.array([len(p) for p in payloads], np.int64)
-    each = -(-size // FRAME)
-    owner = np.repeat(np.arange(len(size)), each)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each)
-    many = np.minimum(FRAME, size[owner] - number * FRAME)
-    n = len(owner)
-    samples = np.zeros((n, FRAME), np.int32)
+    def parameters(codes: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        many = counted.sum(axis=-1)
+        mean = codes.sum(axis=-1) / np.maximum(many, 1)
+        k = np.clip(np.log2(np.maximum(mean * 0.7, 1)).astype(np.int64), 0, 14)
+        return k, (codes >> k[..., None]).sum(axis=-1, dtype=np.int64) + many * (1 + k) + 4
+
+    whole, bits = parameters(code, inside)
+    cut = (n, PARTITIONS, long // PARTITIONS)
+    parts, each = parameters(code.reshape(cut), inside.reshape(cut))
+    # partitions of a size of their own are for full frames
+    split = (each.sum(axis=1) < bits) & inside[:, -1]
+    return code, np.where(split[:, None], parts, whole[:, None]), np.where(split, PARTITIONS, 1), np.where(split, each.sum(axis=1), bits)
+
+
+def _predictors(samples: np.ndarray) -> np.ndarray:
+    """The coefficients, times 1 << SHIFT, of a linear predictor of order LINEAR for each row: Levinson's recursion on the row's autocorrelation."""
+    x = samples.astype(np.float64)
+    lags = np.stack([(x[:, : x.shape[1] - j] * x[:, j:]).sum(axis=1) for j in range(LINEAR + 1)], axis=1)
+    error, factors = np.maximum(lags[:, 0] * (1 + 1e-9), 1e-9), np.zeros((len(x), LINEAR))
+    for i in range(LINEAR):
+        reflection = (lags[:, i + 1] - (factors[:, :i] * lags[:, i:0:-1]).sum(axis=1)) / error
+        factors[:, :i] -= reflection[:, None] * factors[:, :i][:, ::-1]
+        factors[:, i] = reflection
+        error = np.maximum(error * (1 - reflection * reflection), 1e-9)
+    most = (1 << (PRECISION - 1)) - 1
+    return np.clip(np.rint(factors * (1 << SHIFT)), -most - 1, most).astype(np.int32)
+
+
+def _frames(samples: np.ndarray, number: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, sizes) of frames of ``many`` samples each; rows of ``samples`` are as long as a frame, zeros behind."""
+    n = len(samples)
     lay = np.arange(FRAME)
     inside = lay < many[:, None]
-    samples[inside] = np.frombuffer(b"".join(payloads), np.uint8).astype(np.int32) - 128
-    # the smallest of: verbatim (-1), fixed predictors of order 0 to 2
-    best, kind = many * 8, np.full(n, -1)
-    codes, ks = np.zeros((n, FRAME), np.int32), np.zeros(n, np.int64)
-    left = samples
-    for order in range(3):
-        if order:
-            left = np.concatenate([np.zeros((n, 1), np.int32), np.diff(left, axis=1)], axis=1)
-        code, k, bits = _rice(left, inside & (lay >= order))
-        bits += 8 * order + 10
-        better = bits < best
+    # the smallest of: verbatim (-1), fixed predictors of order 0 to 2, a linear one (LINE)
+    best, kind, line = many * 8, np.full(n, -1), 3
+    codes, ks, parts = np.zeros((n, FRAME), np.int32), np.zeros((n, PARTITIONS), np.int64), np.ones(n, np.int64)
+    left, factors = samples, _predictors(samples)
+    for order in range(line + 1):
+        if order == line:
+            guess = np.zeros((n, FRAME), np.int32)
+            for j in range(LINEAR):
+                guess[:, LINEAR:] += factors[:, j : j + 1] * samples[:, LINEAR - 1 - j : FRAME - 1 - j]
+            left, warm, own = samples - (guess >> SHIFT), LINEAR, 9 + LINEAR * PRECISION
+        else:
+            left = np.concatenate([np.zeros((n, 1), np.int32), np.diff(left, axis=1)], axis=1) if order else left
+            warm, own = order, 0
+        code, k, part, bits = _rice(left, inside & (lay >= warm))
+        bits = bits + 8 * warm + own + 6
+        better = (bits < best) & (many > warm)
         best = np.where(better, bits, best)
-        kind[better], ks[better] = order, k[better]
-        codes[better] = code[better]
+        kind[better], ks[better], parts[better], codes[better] = order, k[better], part[better], code[better]
     constant = np.all((samples == samples[:, :1]) | ~inside, axis=1)
     kind[constant], best[constant] = -2, 8
+    warm = np.where(kind == line, LINEAR, np.maximum(kind, 0))
     heads = [_header(a, b) for a, b in zip(number.tolist(), many.tolist(), strict=True)]
     head = np.array([len(h) for h in heads], np.int64)
     total = head + 1 + -(-best // 8) + 2
     start = np.cumsum(total) - total
     bits = np.zeros(int(total.sum()) * 8, np.uint8)
-    # Rice codes
-    fixed = kind >= 0
-    use = inside & (lay >= kind[:, None]) & fixed[:, None]
-    row = np.broadcast_to(np.arange(n)[:, None], use.shape)[use]
-    code, k = codes[use].astype(np.int64), ks[row]
+
+    def put(at: np.ndarray, value: np.ndarray, width: int) -> None:
+        for b in range(width):
+            bits[at + b] = value >> (width - 1 - b) & 1
+
+    linear, coded = np.flatnonzero(kind == line), np.flatnonzero(kind >= 0)
+    base = (start + head + 1 + warm) * 8  # behind the warm-up samples
+    put(base[linear], np.full(len(linear), PRECISION - 1), 4)
+    put(base[linear] + 4, np.full(len(linear), SHIFT), 5)
+    for j in range(LINEAR):
+        put(base[linear] + 9 + PRECISION * j, factors[linear, j], PRECISION)
+    base[linear] += 9 + PRECISION * LINEAR
+    put(base[coded] + 2, np.where(parts[coded] > 1, PARTITIONS.bit_length() - 1, 0), 4)
+    # Rice codes, the first of a partition behind its parameter
+    use = inside & (lay >= warm[:, None]) & (kind >= 0)[:, None]
+    row, column = np.nonzero(use)
+    part = np.where(parts[row] > 1, column * PARTITIONS // FRAME, 0)
+    code, k = codes[use].astype(np.int64), ks[row, part]
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
     zeros = code >> k
-    length = zeros + 1 + k
+    length = zeros + 1 + k + 4 * first
     run = np.cumsum(length) - length
     firsts = np.searchsorted(row, np.arange(n), "left")
-    base = (start + head + 1 + np.maximum(kind, 0)) * 8 + 10
-    at = base[row] + run - np.append(run, 0)[firsts][row] + zeros
+    at = base[row] + 6 + run - np.append(run, 0)[firsts][row]
+    put(at[first], k[first], 4)
+    at += 4 * first + zeros
     bits[at] = 1
     for b in range(int(k.max(initial=0))):
         some = k > b
         bits[at[some] + 1 + b] = code[some] >> (k[some] - 1 - b) & 1
-    for b in range(4):
-        bits[base[fixed] - 4 + b] = ks[fixed] >> (3 - b) & 1
     out = np.packbits(bits)
     # headers, subframe types, warm-up and verbatim samples are whole bytes
     joined = np.frombuffer(b"".join(heads), np.uint8)
     within = np.arange(len(joined)) - np.repeat(np.cumsum(head) - head, head)
     out[np.repeat(start, head) + within] = joined
-    out[start + head] = np.where(kind >= 0, 8 + kind, np.where(kind == -1, 1, 0)) << 1
-    plain = np.where(kind == -1, many, np.where(kind == -2, 1, kind))
+    out[start + head] = np.select([kind == line, kind >= 0, kind == -1], [31 + LINEAR, 8 + kind, 1], 0) << 1
+    plain = np.where(kind == -1, many, np.where(kind == -2, 1, warm))
     raw = lay < plain[:, None]
     out[(start + head + 1)[:, None].repeat(FRAME, 1)[raw] + np.broadcast_to(lay, raw.shape)[raw]] = samples[raw].astype(np.int8).view(np.uint8)
     crc = checksums(out, start, total - 2, 16, CRC16)
     out[start + total - 2], out[start + total - 1] = crc >> 8, crc & 255
+    return out, total
+
+
+def encode(payloads: list[bytes]) -> list[bytes]:
+    """A FLAC stream of 8-bit samples, byte - 128 each, for every non-empty payload."""
+    size = np.array([len(p) for p in payloads], np.int64)
+    each = -(-size // FRAME)
+    owner = np.repeat(np.arange(len(size)), each)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each)
+    many = np.minimum(FRAME, size[owner] - number * FRAME)
+    whole = np.frombuffer(b"".join(payloads), np.uint8)
+    upto = np.concatenate([[0], np.cumsum(many)])
+    coded, totals = [], []
+    for k in range(0, len(owner), FRAMES):
+        part = many[k : k + FRAMES]
+        samples = np.zeros((len(part), FRAME), np.int32)
+        samples[np.arange(FRAME) < part[:, None]] = whole[upto[k] : upto[min(k + FRAMES, len(owner))]].astype(np.int32) - 128
+        out, total = _frames(samples, number[k : k + FRAMES], part)
+        coded.append(out.tobytes())
+        totals.append(total)
+    audio, total = b"".join(coded), np.concatenate(totals) if totals else np.zeros(0, np.int64)
+    start = np.cumsum(total) - total
     streams = []
     first = np.cumsum(each) - each
     for i, p in enumerate(payloads):
@@ -154,7 +216,9 @@ def encode(payloads: list[bytes]) -> list[bytes]:
         packed = RATE << 44 | 0 << 41 | 7 << 36 | len(p)
         info = struct.pack(">HH", least, max(least, int(many[a:b].max()))) + int(total[a:b].min()).to_bytes(3, "big") + int(total[a:b].max()).to_bytes(3, "big") + packed.to_bytes(8, "big") + hashlib.md5(signed).digest()
         table = points.tobytes()
-        streams.append(b"fLaC" + bytes([0]) + len(info).to_bytes(3, "big") + info + bytes([0x83]) + len(table).to_bytes(3, "big") + table + out[begin:end].tobytes())
+        if len(table) >= 1 << 24:
+            raise ValueError("a text is too long for one stream's seek table: 16 MB of points are some 470 MB of text")
+        streams.append(b"fLaC" + bytes([0]) + len(info).to_bytes(3, "big") + info + bytes([0x83]) + len(table).to_bytes(3, "big") + table + audio[begin:end])
     return streams
 
 
@@ -353,11 +417,21 @@ def decode(streams: list[bytes]) -> list[tuple[Stream, np.ndarray, np.ndarray]]:
     many = np.array([len(s) for s in starts])
     flat, stop = np.concatenate(starts), np.concatenate(ends)
     bits = np.repeat([x.bits for x in infos], many).astype(np.int64)
-    samples, size, number = decode_frames(data, flat, stop, bits)
+    # the samples of one stream after the other, in two bytes or four
+    wide = np.repeat([-(-x.bits // 8) for x in infos], many)
+    parts, size, number = [], [], []
+    for k in range(0, len(flat), FRAMES):
+        lot = slice(k, k + FRAMES)
+        samples, each, nth = decode_frames(data, flat[lot], stop[lot], bits[lot])
+        kind = np.int16 if wide[lot].max(initial=1) == 1 else np.int32
+        parts.append(samples[np.arange(samples.shape[1]) < each[:, None]].astype(kind))
+        size.append(each)
+        number.append(nth)
+    joined, size, number = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (parts, size, number))
+    upto = np.concatenate([[0], np.cumsum(size)])
     out, at = [], 0
     for x, m in zip(infos, many.tolist(), strict=True):
-        part, each = samples[at : at + m], size[at : at + m]
-        own = part[np.arange(part.shape[1]) < each[:, None]]
+        own, each = joined[upto[at] : upto[at + m]], size[at : at + m]
         first = np.cumsum(each) - each
         if (number[at : at + m] != np.arange(m)).any() or (x.points[:, 0] != first).any() or len(own) != x.samples:
             raise ValueError("frames or seek points are out of place")
@@ -368,6 +442,12 @@ def decode(streams: list[bytes]) -> list[tuple[Stream, np.ndarray, np.ndarray]]:
     return out
 
 
+def blocks_of(samples: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(first sample, PCM bytes) of each frame of a stream of 8-bit samples."""
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(samples)], strict=True):
+        yield a, samples[a:b].astype(np.int8).tobytes()
+
+
 def payload(raw: bytes) -> bytes:
     """The bytes, with bytes 0 up to a positive multiple of 64."""
     return raw + bytes(-len(raw) % 64 if raw else 64)
@@ -386,7 +466,11 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         media = batch.column("media").to_pylist()
         rows = []
         for raw, (_, samples, first) in zip(media, decode(media), strict=True):
-            body = (samples + 128).astype(np.uint8).tobytes()
+            # the payload from the PCM blocks, each at its offset
+            body = bytearray(len(samples))
+            for at, pcm in blocks_of(samples, first):
+                body[at : at + len(pcm)] = (np.frombuffer(pcm, np.uint8) ^ 128).tobytes()
+            body, samples = bytes(body), samples.astype(np.int32)
             change = np.abs(np.diff(samples))
             feature = f"frames={len(first)};peak={int(np.abs(samples).max())};energy={int((samples * samples).sum() // len(samples))};change={int(change.sum() // max(1, len(change)))};crossings={int(((samples[1:] < 0) != (samples[:-1] < 0)).sum())}"
             rows.append((len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-64:]), len(raw), hashlib.sha256(raw).hexdigest(), feature))
@@ -399,8 +483,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_bytes(batches, "media", BATCH_BYTES):
         rows = []
         for i, (_, samples, first) in zip(batch.column(0).to_pylist(), decode(batch.column("media").to_pylist()), strict=True):
-            for k, (a, b) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(samples)], strict=True)):
-                rows.append((i, k, a, b - a, samples[a:b].astype(np.int8).tobytes()))
+            rows += ((i, k, a, len(pcm), pcm) for k, (a, pcm) in enumerate(blocks_of(samples, first)))
         columns = list(zip(*rows, strict=True))
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["id", "block", "first_sample", "samples", "pcm"])
 

@@ -133,3 +133,26 @@ def test_queries(spark):
     blocks = sorted(flac.pcm_blocks(media.where("doc_id = 9")).collect(), key=lambda b: b.block)
     assert b"".join(bytes(c ^ 128 for c in b.pcm) for b in blocks) == flac.payload(texts[9].encode())
     assert flac.probe(flac.store(docs.limit(0))).collect() == [] and flac.pcm_blocks(media.limit(0)).collect() == []
+
+
+def test_what_the_encoder_writes(monkeypatch):
+    """Prose is written with linear prediction, loud and quiet parts in Rice partitions of their own, whatever the number of frames coded together."""
+    r = random.Random(6)
+    prose = " ".join(r.choice(["die", "the", "und", "of", "ación", "schön"]) + r.choice(["", "en", "ing"]) for _ in range(3000)).encode()
+    uneven = b"".join(bytes(r.randrange(60, 68) for _ in range(384)) + bytes(r.randrange(256) for _ in range(128)) for _ in range(9))
+    want = [flac.payload(p) for p in (prose, uneven, b"ab" * 5000, b"x" * 9, b"")]
+    whole = flac.encode(want)
+    kinds, parts = set(), 0
+    for stream in whole:
+        x = flac.Stream(stream)
+        for _, at, size in x.points.tolist():
+            head = 6 + (2 if stream[x.audio + at + 2] >> 4 == 7 else 0)
+            kind = stream[x.audio + at + head] >> 1
+            kinds.add(kind)
+            if kind == 9:  # one warm-up sample, then the residuals' header
+                parts += stream[x.audio + at + head + 2] >> 2 & 15 == 2
+    assert 31 + flac.LINEAR in kinds and 0 in kinds and parts
+    for frames in (1, 7):
+        monkeypatch.setattr(flac, "FRAMES", frames)
+        assert flac.encode(want) == whole
+        assert [(s + 128).astype(np.uint8).tobytes() for _, s, _ in flac.decode(whole)] == want
