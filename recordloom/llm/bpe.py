@@ -139,13 +139,32 @@ class Automaton:
         return [self.labels[i] for i in ids]
 
 
+#: What the short ways of ``Codec`` rest on, the normaliser and the pre-splitting rule of the word tokenizers it reads.
+NORMALIZERS = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def supported(spec: dict) -> None:
+    """Raises unless texts are composed, made small and split as ``words_of`` and ``pieces_of`` assume, white space is dropped, and decoding joins labels by spaces."""
+    steps = [(n["type"], n.get("pattern", {}).get("Regex")) for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = [p for p in parts if p["type"] == "Split" and p["pattern"].get("Regex") == SPLIT and p["behavior"] == "Removed" and p["invert"]]
+    level = [p for p in parts if p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p.get("use_regex", True)]
+    model, added = spec["model"], spec["added_tokens"]
+    plain = model["type"] == "BPE" and model.get("end_of_word_suffix") and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    alone = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) and not any(c.isspace() for c in t["content"]) for t in added)
+    if steps != NORMALIZERS or len(parts) != 2 or not split or not level or not plain or not alone or spec.get("decoder") or spec.get("post_processor"):
+        raise ValueError("not a tokenizer of the kind that this codec reads: words with ends, small letters, white space dropped")
+
+
 class Codec:
-    """A word tokenizer file: its own normaliser and pre-splitting rule, with the automaton in place of its model."""
+    """A word tokenizer file: its own normaliser and pre-splitting rule, with the automaton in place of its model. Files of other kinds are an error (see ``supported``)."""
 
     def __init__(self, path: str, most_known: int = MOST_KNOWN) -> None:
         from tokenizers import Tokenizer
 
         spec = json.load(open(path, encoding="utf-8"))
+        supported(spec)
         model = spec["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"])

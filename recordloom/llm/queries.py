@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.spread import dealt
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return dealt(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def _vocabulary(name: str = "word_bpe_49k.json") -> str:

@@ -1,4 +1,5 @@
 import hashlib
+import json
 
 import public_tokenizers
 import pytest
@@ -60,8 +61,20 @@ def test_automaton_accepts_what_merging_gives(random):
 @settings(max_examples=150, deadline=None)
 @given(text=st.text(max_size=60))
 def test_any_text_as_the_library(library, codec, text):
-    want = library.encode(text, add_special_tokens=False).ids
-    assert [int(x) for x in codec.code(text.encode("utf-8", "replace"))[0].split()] == library.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids or want is None
+    raw = text.encode("utf-8", "replace")
+    want = library.encode(raw.decode(), add_special_tokens=False).ids
+    ids, decoded = codec.code(raw)
+    assert [int(x) for x in ids.split()] == want and decoded.decode() == library.decode(want, skip_special_tokens=False)
+
+
+def test_other_kinds_of_files_are_refused(tmp_path):
+    with pytest.raises(ValueError):
+        Codec(public_tokenizers.path("byte_bpe_50k.json"))
+    spec = json.load(open(PATH, encoding="utf-8"))
+    spec["normalizer"]["normalizers"].pop()
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        Codec(str(tmp_path / "t.json"))
 
 
 def test_queries_as_the_library(spark, library):
