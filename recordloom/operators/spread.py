@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 
 from .durable import keep
 
+#: Bytes that a core should have to read: what Spark itself reckons a file to cost besides its bytes.
+LEAST = 4 << 20
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """The rows of an input that is too small to occupy all cores, dealt out over them; those of any other as they are.
+
+    A row group of Parquet is one task, so a file of a few megabytes would leave all cores but one idle; moving so little costs less than that.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return rows.repartition(cores) if size < cores * LEAST else rows
+
 
 def apart(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``left`` joined with ``right`` on ``keys`` (never null), both sides shuffled anew by a hash of the keys.

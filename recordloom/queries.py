@@ -29,7 +29,11 @@ def query(sql: str | None = None) -> Callable:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; those of texts, on which work is heavy, dealt out if they are small."""
+    from .operators.spread import dealt
+
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(rows) if name in ("documents", "pages") else rows
 
 
 def _load() -> None:
