@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm import bpe, decontam, langid, rlz, simhash
 from recordloom.operators.durable import drop_since, mark, new_folder
+from recordloom.operators.spread import dealt
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Rows of an Arrow batch: of texts, the usual 10,000 are tens of megabytes in the JVM and in Python at once.
@@ -81,7 +82,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what a stage returns is written to the shared folder and read again, and what it kept on the way there is deleted."""
     own = apart(spark)
     folder = new_folder(own, "pipeline")
-    docs = own.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = dealt(own.read.parquet(f"{sf_dir}/documents.parquet"))
     for k, (name, stage) in enumerate(STAGES):
         since = mark(own)
         docs = stage(own, docs, sf_dir)
