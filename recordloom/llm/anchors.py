@@ -121,12 +121,11 @@ def scanner(units: Units, width: int, gram: int, limit: int = SLICE_BYTES):
 SEGMENT = "anchor long, content long, did long, tag long, place long"
 
 
-def identity(docs: DataFrame, key: str) -> Column:
-    """The key as a long that is never null. Other keys than integers are an error, told before anything runs."""
+def integer_key(docs: DataFrame, key: str) -> None:
+    """Other keys than integers are an error, told before anything runs."""
     kind = docs.schema[key].dataType.typeName()
     if kind not in ("byte", "short", "integer", "long"):
         raise TypeError(f"{key} is {kind}; the order of documents needs an integer key")
-    return F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))
 
 
 def texts(docs: DataFrame, key: str, text: str, *others: Column) -> tuple[DataFrame, bool]:
@@ -135,8 +134,9 @@ def texts(docs: DataFrame, key: str, text: str, *others: Column) -> tuple[DataFr
     Ids with one text each, the usual case, have the tag 0; whether there are others is told by one aggregate over digests of 128 bits. The texts of a repeated
     or null id are numbered in order of their digests, without a task for an id; rows that repeat id and text share a tag.
     """
+    integer_key(docs, key)
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(identity(docs, key).alias("did"), raw.alias("raw"), *others)
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("did"), raw.alias("raw"), *others)
     named = [c for c in rows.columns if c not in ("did", "raw")]
     digests = rows.select("did", F.struct(F.xxhash64("raw").alias("one"), F.xxhash64(F.lit(1), "raw").alias("two")).alias("digest"))
     several = keep(digests.groupBy("did").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("did"))

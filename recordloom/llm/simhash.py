@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.durable import keep
 from ..operators.spread import apart
+from .anchors import integer_key
 from .graph import components
 from .textscan import by_bytes, mix, packed, unpacked
 
@@ -417,13 +418,14 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     Fingerprints of the shingle sets with TABLES code words are placed at anchors, table by table; those that may be similar are connected by spanning forests, and so are sets of FEW shingles at most that share one of their
     least hashes, without which they can't be similar. Within
     each connected set every pair that may be similar is verified on the whole shingle sets, unless other verified pairs connect it. Texts with one fingerprint, copies above
-    all, are one node. Rows that repeat a key and text count as copies; a null key is after all others; texts without words are copies of each other.
+    all, are one node. The key is an integer, else a TypeError is raised. Rows that repeat a key and text count as copies; a null key is after all others; texts without words are copies of each other.
     An empty table gives no rows.
     """
     words = -(-TABLES * LENGTH // 64)
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    identity = [F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1)).alias("_did"), F.xxhash64(raw).alias("_mark")]
-    rows = docs.select(F.struct(*(c.alias(n) for c, n in zip(identity, ("did", "mark"), strict=True))).alias("id"), raw.alias("raw"))
+    integer_key(docs, key)
+    identity = [F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1)).alias("did"), F.xxhash64(raw).alias("mark")]
+    rows = docs.select(F.struct(*identity).alias("id"), raw.alias("raw"))
     kind = "struct<did: long, mark: long>"
     printed = keep(rows.mapInArrow(printer(size, seed, words, similarity), f"id {kind}, print binary, few array<long>"))
     nodes = keep(printed.groupBy("print").agg(F.min("id").alias("low")))
@@ -441,8 +443,12 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     low = joined.join(nodes, joined["node"] == nodes["print"]).groupBy("root").agg(F.min("low").alias("least"))
     later = joined.join(low, "root").select(F.col("node").alias("print"), "least")
     kept = nodes.join(later, "print", "left").where("least is null or least = low").select("low.did", "low.mark")
-    moved = docs.withColumns({"_did": identity[0], "_mark": identity[1]}).withColumn(text, pack(F.col(text).cast("binary")))
-    chosen = moved.join(kept.withColumnsRenamed({"did": "_did", "mark": "_mark"}), ["_did", "_mark"], "left_semi")
+    # all columns but the text travel in one struct, so that their names can't clash with those used here
+    others = [c for c in docs.columns if c != text]
+    moved = docs.select(*identity, pack(F.col(text).cast("binary")).alias("packed"), F.struct(F.lit(True).alias("here"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(others))).alias("rest"))
+    chosen = moved.join(kept, ["did", "mark"], "left_semi")
     # rows that repeat a key and text: they stand together already, so this moves nothing
-    nth = F.row_number().over(Window.partitionBy("_did", "_mark").orderBy(F.lit(1)))
-    return chosen.withColumn("_nth", nth).where("_nth = 1").withColumn(text, unpack(text).cast("string")).select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy("did", "mark").orderBy(F.lit(1)))
+    one = chosen.withColumn("nth", nth).where("nth = 1").select("rest", unpack("packed").cast("string").alias("text"))
+    back = {text: F.col("text")} | {c: F.col(f"rest.c{k}") for k, c in enumerate(others)}
+    return one.select(*(back[c].alias(c) for c in docs.columns))

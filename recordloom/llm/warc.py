@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import keep, new_folder
+from .anchors import integer_key
 
 CHUNK, LEVEL = 64 << 10, 3
 #: Fixed values of the format (WARC 1.1).
@@ -141,12 +142,13 @@ def writer(folder: str):
 
 
 def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0, chunk: int = CHUNK) -> DataFrame:
-    """Writes a record per row and returns the manifest (path, records, bytes), one row an archive.
+    """Writes a record per row and returns the manifest (path, records, bytes), one row an archive. The key is an integer, else a TypeError is raised.
 
     ``folder``: one that all executors reach; by default a new one in the shared folder. A null payload is empty, a null url is replaced by the record's name,
     and a null page is never the one referred to unless alone. Rows that repeat a page and payload are written each, as what the page is, under one name. Extra columns are not
     read. An empty table makes no archive.
     """
+    integer_key(pages, key)
     folder = (folder or new_folder(pages.sparkSession, "warc")).rstrip("/")
     again = revisits(pages, key, payload, least_bytes)
     rows = chunked(pages, key, url, payload, chunk).join(again, ["id", "digest"], "left").where("refers_to is null or chunk = 0")

@@ -169,3 +169,16 @@ def test_near_copies_as_brute_force(spark):
     kept = {r.doc_id for r in S.without_near_copies(table).select("doc_id").collect()}
     dropped = root.keys() - kept
     assert len(gone) > 50 and dropped <= gone and len(dropped) >= 0.99 * len(gone)
+
+
+def test_near_copies_keep_columns_of_any_name(spark):
+    names = ["_did", "_mark", "_nth", "did", "mark", "nth", "packed", "rest", "print", "id", "raw", "root"]
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(i, *[70 + i] * len(names), t) for i, t in enumerate([words, words + " x", None, "", "other text", None])]
+    docs = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ["doc_id", *names]) + ", text string")
+    got = sorted(S.without_near_copies(docs).collect())
+    assert S.without_near_copies(docs).columns == docs.columns
+    # texts without words are copies of each other, whatever they are
+    assert [tuple(r) for r in got] == [rows[0], rows[2], rows[4]]
+    with pytest.raises(TypeError):
+        S.without_near_copies(docs.withColumn("doc_id", docs["doc_id"].cast("string")))
