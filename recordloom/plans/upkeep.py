@@ -230,3 +230,25 @@ def entity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", *(X.decode_entities("t", kind).alias(kind) for kind in ("page", "article", "dump", "feed")), X.clean("t").alias("clean"), X.xml_element(xml, "b").alias("element"))
 
 
+
+
+@query("""
+    WITH f AS (SELECT l_orderkey AS url, l_orderkey * 10 + l_linenumber AS key FROM lineitem GROUP BY ALL), d AS (SELECT * FROM f WHERE key % 3 = 0 OR url % 4 = 0 OR (url % 7 = 0 AND key % 2 = 0)),
+         o AS (SELECT url FROM f GROUP BY url HAVING count(*) > (SELECT count(*) FROM d WHERE d.url = f.url))
+    SELECT url, key FROM f WHERE url IN (SELECT url FROM o) AND key NOT IN (SELECT key FROM d)
+""")
+def unfiled_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists of articles that are not filed yet; nothing of an article that has all of its own."""
+    k = F.col("l_orderkey")
+    found = table(spark, sf_dir, "lineitem").select(k.alias("url"), (k * 10 + F.col("l_linenumber")).alias("key")).distinct()
+    filed = found.where("key % 3 = 0 or url % 4 = 0 or (url % 7 = 0 and key % 2 = 0)")
+    return I.unfiled(found, filed, "url", "key").select("url", "key")
+
+
+@query("""
+    WITH w AS (SELECT DISTINCT l_suppkey AS id FROM lineitem) SELECT id, CASE WHEN id % 3 = 0 THEN 'kept' ELSE 'asked' END AS via, CASE WHEN id % 3 = 0 THEN 1900 + id % 100 ELSE 2000 + id % 10 END AS year FROM w
+""")
+def remembered_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years from a table of answers, and of the others by asking for each once."""
+    known = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"), F.lit("kept").alias("via"), (1900 + F.col("s_suppkey") % 100).alias("year"))
+    return I.remembered(known, table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("id")), "id", lambda ids: ids.select("id", F.lit("asked").alias("via"), (2000 + F.col("id") % 10).alias("year")))

@@ -31,3 +31,18 @@ def readable_again(rows: DataFrame, texts: DataFrame, key: str, field: str, limi
     """Keys whose stored rows lack ``field`` and whose text is still the one they were parsed from, ``limit`` at most; others would mix two versions."""
     lacking = rows.where(F.col(field).isNull()).select(key, "mark").distinct()
     return lacking.join(texts.select(key, content_hash("text").alias("mark")), [key, "mark"], "left_semi").select(key).orderBy(key).limit(limit)
+
+
+def unfiled(found: DataFrame, filed: DataFrame, source: str, key: str) -> DataFrame:
+    """Rows of ``found`` to be filed: of sources of which fewer are filed than were found, and under keys that are free. What is filed is never written over, so filing again does nothing."""
+    done = filed.groupBy(source).agg(F.count(F.lit(1)).alias("_filed"))
+    many = found.groupBy(source).agg(F.count(F.lit(1)).alias("_found"))
+    open_ = many.join(done, source, "left").where(F.col("_found") > F.coalesce("_filed", F.lit(0))).select(source)
+    return found.join(open_, source, "left_semi").join(filed.select(key).distinct(), key, "left_anti")
+
+
+def remembered(known: DataFrame, wanted: DataFrame, key: str, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Answers to all of ``wanted``'s keys: those of ``known`` (key, …) as they are, and those that ``find`` gives for the others, asked once each."""
+    asked = wanted.select(key).distinct()
+    new = find(asked.join(known.select(key), key, "left_anti"))
+    return known.join(asked, key, "left_semi").unionByName(new.select(known.columns))
