@@ -17,7 +17,7 @@ def dealt(rows: DataFrame) -> DataFrame:
     A row group of Parquet is one task, so a file of a few megabytes would leave all cores but one idle; moving so little costs less than that.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return rows.repartition(cores) if size < cores * LEAST else rows
 
 
