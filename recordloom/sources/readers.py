@@ -19,7 +19,7 @@ HEADER = r"\A(?:(?:url|date|title|note): [^\n]*\n)*"
 def header_field(text: Column, name: str) -> Column:
     """A ``name: value`` line of the header lines a text begins with; of repeated ones the last."""
     head = F.regexp_extract(text, HEADER, 0)
-    return F.trim(X.found(head, rf"(?s)(?:\A|.*\n){name}: ([^\n]*)\n"))
+    return F.trim(X.found(head, rf"(?s)(?:.*\n|\A){name}: ([^\n]*)\n"))
 
 
 def playlists(spark: SparkSession, path: str) -> DataFrame:

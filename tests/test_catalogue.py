@@ -97,3 +97,16 @@ def test_dates_spellings_reruns(spark):
 def test_settled_rounds(spark):
     c = spark.createDataFrame([(1, "n", "a"), (2, "n", "a"), (2, "n", "b"), (3, "n", "c"), (3, "n", "d")], "key int, name string, owner string")
     assert rows(R.settled(c, "key", "name", "owner"), "key", "owner", "round") == [(1, "a", 0), (2, "a", 1)]
+
+
+def test_rounds_end_as_documented(spark):
+    import pytest
+
+    chain = [(0, "n0", "a")] + [(k, f"n{k - 1}", "a") for k in range(1, 8)] + [(k, f"n{k}", "b") for k in range(1, 8)]
+    c = spark.createDataFrame(chain, "key int, name string, owner string")
+    assert R.ROUNDS == 5 and {r["round"] for r in R.settled(c, "key", "name", "owner").collect()} <= set(range(6))
+    assert R.settled(c, "key", "name", "owner", whole=True).count() >= 1
+    rows = [(0, "n", "a"), (1, "n", "a"), (1, "m", "b")]
+    steps = spark.createDataFrame(rows, "key int, name string, owner string")
+    with pytest.raises(RuntimeError, match="not settled"):
+        R.settled(steps, "key", "name", "owner", rounds=0, whole=True)

@@ -124,3 +124,57 @@ def test_incremental(spark, tmp_path):
     assert sorted(r.k for r in I.pending(edited, stored, "k", "text").collect()) == [2, 3]
     assert [r.k for r in I.pending(edited, stored, "k", "text", 1, lambda d: d["k"] == 3).collect()] == [3]
     assert [r.k for r in I.readable_again(stored, edited, "k", "label", 5).collect()] == [1]
+
+
+def test_playlists_of_two_programs(spark, tmp_path):
+    files = {
+        "one/playlists/12.txt": 'url: https://x.org/12\ndate: 2001-02-03\ntitle: A: b\nnote: n\n\n1. A "b"\n2. C "d"\n', "one/playlists/2001-05-06.txt": '\n1. A "b"\n', "one/playlists/7.txt": "url: u\n",
+        "one/playlists/draft-3.txt": "1. no\n", "one/playlists/3.txt.bak": "1. no\n", "two/playlists/1.txt": "date: a\ndate: 2002-01-01\n\ntext with\ndate: none\n", "Three3/playlists/1.txt": "x",
+    }
+    for name, text in files.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    rows = R.playlists(spark, f"{tmp_path}/*/playlists/*")
+    got = [tuple(r) for r in rows.where("program = 'one'").orderBy(*R.newest_first()).collect()]
+    assert got == [("one", 12, "2001-02-03", "https://x.org/12", "A: b", "n", '1. A "b"\n2. C "d"'), ("one", 7, None, "u", None, None, ""), ("one", None, "2001-05-06", None, None, None, '1. A "b"')]
+    two = rows.where("program = 'two'").first()
+    assert (two.date, two.text) == ("2002-01-01", "text with\ndate: none") and {r.program for r in R.programs(rows).collect()} == {"one", "two"}
+    lines = R.playlist_lines(rows.where("number = 12"), ["number"]).orderBy("pos").collect()
+    assert [(r.pos, r.line) for r in lines] == [(0, '1. A "b"'), (1, '2. C "d"')]
+
+
+def test_cue_blocks_beyond_ten_thousand(spark):
+    sheet = 'TITLE "x"\n' + "".join(f'  TRACK {k % 100:02d} AUDIO\n    TITLE "t{k}"\n    PERFORMER "p"\n' for k in range(10_050))
+    files = spark.createDataFrame([("/a/Show_N7_2010.08.01_0.cue", bytearray(sheet.encode()))], "path string, content binary")
+    songs = R.cue_rows(files)
+    assert songs.count() == 10_050 and songs.where("title = 't10049'").first().pos == 10_050
+
+
+def test_sheets_as_sources(spark):
+    sheet = b'  TRACK 01 AUDIO\n    TITLE "a"\n    PERFORMER "b"\n'
+    files = spark.createDataFrame([(f"/a/S_N{k}_2010.08.01_0.cue", bytearray(sheet)) for k in (1, 2, 3)], "path string, content binary")
+    urls = spark.createDataFrame([(" https://y.org/c/S_N2_2010.08.01_0.cue ",), ("",)], "url string")
+    moved = spark.createDataFrame([("S_N1_2010.08.01_0.cue", 9, "renumbered")], "file string, number int, why string")
+    got = R.cue_sources(R.cue_rows(files), "https://x.org/", urls, moved, ("S_N3_2010.08.01_0.cue",)).orderBy("file").collect()
+    assert [(r.number, r.moved_from, r.why, r.url, r.entries) for r in got] == [
+        (9, 1, "renumbered", "https://x.org/S_N1_2010.08.01_0.cue", ['1. b "a"']), (2, None, None, "https://y.org/c/S_N2_2010.08.01_0.cue", ['1. b "a"']),
+    ]
+
+
+def test_dictionary_names_with_brackets(spark, tmp_path):
+    (tmp_path / "d.json").write_text(json.dumps({"pias": "[PIAS] Recordings", "two": ["[A]", "B"], "none": None, "n": "null", "digits": "12"}))
+    got = sorted(tuple(r) for r in R.dictionary(spark, str(tmp_path / "d.json")).select("spelling", "pos", F.coalesce("name", F.lit("-"))).collect())
+    assert got == [("digits", 0, "12"), ("n", 0, "null"), ("none", 0, "-"), ("pias", 0, "[PIAS] Recordings"), ("two", 0, "[A]"), ("two", 1, "B")]
+
+
+def test_json_is_written_aside_first(spark, tmp_path):
+    path = f"file://{tmp_path}/out"
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    S.write_json(rows, path)
+    broken = rows.withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        S.write_json(broken, path)
+    assert [tuple(r) for r in spark.read.json(path).select("k", "v").collect()] == [(1, "a")]
+    S.write_json(rows.withColumn("v", F.lit("b")), path)
+    assert spark.read.json(path).first().v == "b" and not [p for p in os.listdir(tmp_path) if p.endswith(".old")]

@@ -35,3 +35,31 @@ def test_apart(spark):
     left = spark.createDataFrame([(k % 5, k) for k in range(50)], "a long, x int")
     right = spark.createDataFrame([(k, f"r{k}") for k in range(3)], "a long, y string")
     assert sorted(map(tuple, spread.apart(left, right, ["a"]).collect())) == sorted(map(tuple, left.join(right, "a").collect()))
+
+
+def test_shared_folder_needs_a_name_on_a_cluster():
+    from recordloom.operators import durable
+
+    assert durable.single_machine("local[4]") and durable.single_machine("local") and not durable.single_machine("local-cluster[2,1,1024]") and not durable.single_machine("spark://x:7077")
+
+
+def test_kept_rows_are_deleted_when_told(spark):
+    from recordloom.operators import durable
+
+    since = durable.mark(spark)
+    a, b = durable.keep(spark.range(5)), durable.keep(spark.range(7))
+    durable.drop(a)
+    assert b.count() == 7 and durable.mark(spark) == since + 1
+    durable.drop_since(spark, since)
+    assert durable.mark(spark) == since
+    import pytest
+
+    with pytest.raises(Exception):
+        b.count()
+
+
+def test_small_inputs_are_dealt_out(spark, sf):
+    from recordloom.operators.spread import dealt
+
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    assert dealt(rows).count() == rows.count() and "REPARTITION" in dealt(rows)._jdf.queryExecution().executedPlan().toString()
