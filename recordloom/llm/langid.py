@@ -132,16 +132,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     over each of their texts. More than MOST_LANGUAGES languages are an error.
     """
     learn = docs.where(F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(key)))
-    chosen = learn.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("hash"))
-    # the first of a language are among the first of its parts, so no task sees more than those
-    for by in (["lang", F.pmod("hash", F.lit(16))], ["lang"]):
-        chosen = chosen.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("hash", "id"))).where(F.col("place") <= ROWS_A_LANGUAGE)
-    chosen = keep(chosen.select("id", "lang"))
-    langs = sorted(r.lang for r in chosen.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    counts = keep(learn.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")))
+    langs = sorted(r.lang for r in counts.select("lang").limit(MOST_LANGUAGES + 1).collect())
     if not langs:
         return None
     if len(langs) > MOST_LANGUAGES:
         raise ValueError("too many languages")
+    # the first of a language by hash are among those whose hash is below a share that three times as many rows meet, so no task sees more, however common a language is
+    place = F.xxhash64(F.col(key)).bitwiseAND((1 << 53) - 1)
+    rows = learn.select(F.col(key).alias("id"), F.col(lang).alias("lang"), place.alias("place")).join(F.broadcast(counts), "lang")
+    few = rows.where(F.col("place") < F.least(F.lit(1.0), 3.0 * ROWS_A_LANGUAGE / F.col("n")) * float(1 << 53))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "id"))
+    chosen = keep(few.withColumn("nth", nth).where(F.col("nth") <= ROWS_A_LANGUAGE).select("id", "lang"))
     at = [F.substring(F.col(text), 1 + F.floor(F.length(text) * i / WINDOWS_A_ROW).cast("int"), F.lit(WINDOW)) for i in range(WINDOWS_A_ROW)]
     # at most ROWS_A_LANGUAGE * MOST_LANGUAGES ids: short enough to broadcast and to collect
     rows = learn.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.array(*at).alias("pieces")).join(F.broadcast(chosen), ["id", "lang"], "left_semi")
@@ -187,11 +189,13 @@ def identify(docs: DataFrame, net: Network | None, key: str = "doc_id", text: st
     return found.select(F.col("id").alias(key), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, net: Network | None, text: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has letters and is in some language with a score of ``least``.
+def accepted(docs: DataFrame, net: Network | None, text: str = "text", least: float = 0.05) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has letters and is in some language with a score of ``least`` of the way from even odds to certainty.
 
-    Without a network, texts with letters are accepted.
+    Even odds are one by the number of languages, which is the least score that there can be. Without a network, texts with letters are accepted.
     """
+    if net is not None:
+        least = 1 / len(net.langs) + least * (1 - 1 / len(net.langs))
 
     @F.arrow_udf("double")
     def score(raw: pa.Array) -> pa.Array:

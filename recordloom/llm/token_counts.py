@@ -3,7 +3,8 @@
 A task cuts its rows into batches of about equal bytes. Within a batch, texts of any length are split at ASCII white
 space, a safe boundary for a tokenizer that drops white space and never forms a token across it (the word tokenizers
 with word ends do so; ``safe`` checks the tokenizer's own settings). The distinct pieces of a batch that are not known yet go to the
-library's batch encoder together, and only their lengths are kept.
+library's batch encoder together, and only their lengths are kept. A piece of more than LONG bytes is split further, where a letter is followed by a mark that
+begins a token of its own, if the tokenizer is of the kind whose splitting is known (``bpe.supported``).
 """
 
 from __future__ import annotations
@@ -18,11 +19,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import supported
 from .textscan import by_bytes, spans, words
 
 #: Known lengths kept by a task; the table is emptied when it is full.
 MOST_KNOWN = 400_000
 BATCH_BYTES = 4 << 20
+LONG = 1 << 14
+#: A mark behind an ASCII letter begins a token, and no special token holds one.
+MARKS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"])
+LETTERS = np.isin(np.arange(256), [ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
 
 
 def safe(path: str) -> None:
@@ -33,6 +39,26 @@ def safe(path: str) -> None:
         raise ValueError("this tokenizer has tokens that hold white space; texts can't be split there")
 
 
+def splits_as_known(path: str) -> bool:
+    try:
+        supported(json.load(open(path, encoding="utf-8")))
+    except ValueError:
+        return False
+    return True
+
+
+def shorter(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, long: int = LONG) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of pieces, those of more than ``long`` bytes cut at safe places, ``long`` bytes apart at least."""
+    cuts: list[int] = []
+    for a, b in zip(starts[ends - starts > long].tolist(), ends[ends - starts > long].tolist(), strict=True):
+        at = a
+        for p in (np.flatnonzero(MARKS[data[a + 1 : b]] & LETTERS[data[a : b - 1]]) + a + 1).tolist():
+            if p - at >= long:
+                cuts.append(p)
+                at = p
+    return (np.union1d(starts, cuts).astype(np.int64), np.union1d(ends, cuts).astype(np.int64)) if cuts else (starts, ends)
+
+
 def counter(path: str):
     """A mapInArrow function: (id, raw binary) to (id, n_bytes, n_tokens)."""
 
@@ -42,6 +68,7 @@ def counter(path: str):
         from tokenizers import Tokenizer
 
         safe(path)
+        known_splitting = splits_as_known(path)
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
@@ -49,6 +76,9 @@ def counter(path: str):
         for batch in by_bytes(batches, "raw", BATCH_BYTES):
             data, offsets = spans(batch.column("raw"))
             starts, ends, first = words(data, offsets)
+            if known_splitting:
+                starts, ends = shorter(data, starts, ends)
+                first = np.searchsorted(starts, offsets, "left")
             total = np.zeros(len(offsets) - 1, np.int64)
             if len(starts):
                 keep = np.zeros(len(data), bool)

@@ -58,3 +58,15 @@ def test_ties_go_to_the_first_language(spark):
     net = L.Network(["aa", "bb"], zero(256, L.EMBED), zero(wide * L.EMBED, 3), zero(3), zero(3, 2), zero(2))
     r = L.identify(spark.createDataFrame([(1, "text")], "doc_id long, text string"), net).first()
     assert (r.lang_pred, r.score) == ("aa", 0.5)
+
+
+def test_what_no_language_claims_is_rejected(spark):
+    """A score near even odds is rejected whatever the number of languages."""
+    wide = max(L.WIDTHS)
+    docs = spark.createDataFrame([(1, "text", 5), (2, "123", 6), (3, None, 7)], "doc_id long, text string, least int")
+    for k in (1, 2, 3, 8):
+        zero = lambda *shape: np.zeros(shape, np.float32)
+        even = L.Network([f"l{i}" for i in range(k)], zero(256, L.EMBED), zero(wide * L.EMBED, 3), zero(3), zero(3, k), zero(k))
+        assert [r.doc_id for r in L.accepted(docs, even).collect()] == ([1] if k == 1 else [])
+        sure = L.Network(even.langs, even.embed, even.filters, even.bias, even.out, np.arange(k, dtype=np.float32))
+        assert [tuple(r) for r in L.accepted(docs, sure).collect()] == [(1, "text", 5)]

@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -90,3 +91,14 @@ def test_queries_as_the_library(spark, library):
         assert coded[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert coded[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert count_tokens(docs.limit(0), PATH).collect() == [] and encode_decode(docs.limit(0), PATH).collect() == []
+
+
+def test_long_pieces_are_cut_at_safe_places(spark, library):
+    from recordloom.llm import token_counts as C
+
+    texts = ["Letters,marks;and.1more!" * 4000, "don't.x" * 9000 + "<|endoftext|>" + "y" * 50_000 + ".", "字" * 9000 + "a.b" * 9000, "x" * 40_000]
+    got = {r.doc_id: r.n_tokens for r in count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect()}
+    assert [got[i] for i in range(4)] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    data = np.frombuffer(texts[0].encode(), np.uint8)
+    starts, ends = C.shorter(data, np.array([0]), np.array([len(data)]))
+    assert len(starts) == len(ends) >= len(data) // C.LONG - 1 and (starts[1:] == ends[:-1]).all() and int((ends - starts).max()) < 2 * C.LONG
