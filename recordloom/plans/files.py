@@ -289,3 +289,56 @@ def entry_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "k", parts["artist"].alias("artist"), parts["title"].alias("title"), F.when(F.col("q").isNotNull(), F.when(quotes["title"] == "it", "it's")).alias("quoted"), parsed["number"].cast("long").alias("number"),
         F.when(F.col("s") % 5 == 4, F.when(F.col("s") % 2 == 0, "UK")).otherwise(parsed["country"]).alias("country"), parsed["confidence"].alias("confidence"),
     )
+
+
+@query("""
+    WITH f AS (SELECT '/d/dump_' || strftime(o_orderdate, '%Y%m%d') || CASE WHEN o_orderkey % 2 = 0 THEN '_masters.xml.gz' ELSE '_artists.xml.gz' END AS path, strftime(o_orderdate, '%Y%m%d') AS date FROM orders)
+    SELECT path, date FROM f WHERE path LIKE '%masters%' ORDER BY date DESC, path LIMIT 1
+""")
+def newest_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest dump of a kind, by the date in its name."""
+    name = F.concat(F.lit("/d/dump_"), F.date_format("o_orderdate", "yyyyMMdd"), F.when(F.col("o_orderkey") % 2 == 0, "_masters.xml.gz").otherwise("_artists.xml.gz"))
+    return R.newest_of(table(spark, sf_dir, "orders").select(name.alias("path")), r"\Adump_(\d{8})_masters\.xml\.gz\z")
+
+
+@query("""
+    WITH p AS (SELECT o_custkey AS k, CASE o_orderkey % 3 WHEN 0 THEN 'near' WHEN 1 THEN 'plain' ELSE 'print' END AS kind, max(o_orderkey) AS page, max(o_orderkey) % 5 > 1 AS has FROM orders GROUP BY ALL),
+         r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY list_position(['near', 'print', 'plain'], kind)) AS nth FROM p WHERE has)
+    SELECT k, kind, page FROM r WHERE nth = 1
+""")
+def page_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a broadcast's pages the first kind in order that has any entries."""
+    n = F.col("o_orderkey") % 3
+    pages = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k"), F.when(n == 0, "near").when(n == 1, "plain").otherwise("print").alias("kind")).agg(F.max("o_orderkey").alias("page"))
+    pages = pages.withColumn("entries", F.when(F.col("page") % 5 > 1, F.array(F.lit("1. A"))).otherwise(F.array().cast("array<string>")))
+    return E.by_priority(pages, "k", "kind", ["near", "print", "plain"]).select("k", "kind", "page")
+
+
+@query("""
+    WITH l AS (SELECT l_orderkey AS k, l_partkey AS pos, CASE WHEN min(l_linenumber) % 4 = 0 THEN 'a note 1.' ELSE min(l_linenumber) || CASE min(l_linenumber) % 3 WHEN 0 THEN '. x' WHEN 1 THEN ') x' ELSE ' x' END END AS line, min(l_linenumber) % 4 > 0 AS own FROM lineitem GROUP BY ALL)
+    SELECT k, string_agg(line, '|' ORDER BY pos) AS entries FROM l WHERE own GROUP BY k
+""")
+def numbered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered lines of texts, in order."""
+    n = F.min("l_linenumber")
+    mark = F.when(n % 3 == 0, ". x").when(n % 3 == 1, ") x").otherwise(" x")
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("pos")).agg(F.when(n % 4 == 0, "a note 1.").otherwise(F.concat(n.cast("string"), mark)).alias("line"))
+    return E.numbered_lines(lines, ["k"]).select("k", F.array_join("entries", "|").alias("entries"))
+
+
+@query(f"""
+    WITH e AS (SELECT substr('abc', (p_size % 3 + 1)::INT, 1) AS program, p_size AS number, p_partkey AS i, {S.sql(S.ARTISTS, "p_partkey")} AS artist, CASE WHEN p_partkey % 5 > 0 THEN {S.sql(S.TITLES, "p_partkey")} END AS album FROM part),
+         x AS (SELECT *, row_number() OVER (PARTITION BY program, number ORDER BY i) - 1 AS index FROM e)
+    SELECT program, number::BIGINT AS number, index, artist, {S.bare(f"coalesce({S.credited('artist')}[1], '')")} AS lead, {S.artist_key("coalesce(album, '')")} AS album_key, 1990 + number % 20 AS air_year FROM x
+""")
+def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks nested under their episodes, written as JSON, read, and laid flat again with what matching needs."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    tracks = table(spark, sf_dir, "part").select(
+        F.substring(F.lit("abc"), (size % 3 + 1).cast("int"), F.lit(1)).alias("program"), size.cast("long").alias("number"), F.concat((1990 + size % 20).cast("string"), F.lit("-02-03")).alias("date"), k.alias("i"),
+        S.of(S.ARTISTS, k).alias("artist"), F.when(k % 5 > 0, S.of(S.TITLES, k)).alias("album"),
+    )
+    folder = f"{new_folder(spark, 'archive')}/episodes"
+    sinks.write_json(sinks.nested(tracks, ["program", "number", "date"], "i"), folder)
+    read = spark.read.schema("program string, number long, date string, tracks array<struct<artist: string, album: string>>").json(folder)
+    return R.flattened(read).select("program", "number", F.col("index").cast("long").alias("index"), "artist", "lead", "album_key", F.col("air_year").cast("long").alias("air_year"))

@@ -277,10 +277,15 @@ def tag_lists(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("number").cast("int").alias("number"), "tag.file", F.transform(lines, lambda x: F.regexp_replace(x, r",\s*\([^()]*\)\z", "")).alias("entries"))
 
 
+def newest_of(files: DataFrame, pattern: str = r"(\d{8})") -> DataFrame:
+    """(path, date) of the newest of the files (path), by the date in their names; the first by name of several; no row without one."""
+    dated = files.select("path", X.found(F.element_at(F.split("path", "/"), -1), pattern).alias("date")).where("date is not null")
+    return dated.orderBy(F.desc("date"), "path").limit(1)
+
+
 def newest(spark: SparkSession, path: str, pattern: str = r"(\d{8})") -> tuple[str, str] | None:
-    """(path, date) of the newest of the files that a glob names, by the date in their names; None if there is none."""
-    names = spark.read.format("binaryFile").load(path).select("path")
-    row = names.select("path", X.found(F.element_at(F.split("path", "/"), -1), pattern).alias("date")).where("date is not null").orderBy(F.desc("date"), "path").first()
+    """The path and date of the newest of the files that a glob names; None if there is none."""
+    row = newest_of(spark.read.format("binaryFile").load(path).select("path"), pattern).first()
     return (row["path"], row["date"]) if row else None
 
 
