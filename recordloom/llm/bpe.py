@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import by_bytes, give_back
+from .textscan import by_bytes, give_back, parts
 
 #: Entries of each of a task's tables of known words. A full table becomes the old one, from which what is met again moves to the new one.
 MOST_KNOWN = 200_000
@@ -254,6 +254,12 @@ class Codec:
 
     def code(self, raw: bytes) -> tuple[bytes, bytes]:
         """Decimal ids and decoded labels of a whole text, each joined by one space."""
+        coded = [x for x in map(self.part, parts(raw)) if x[0]]
+        if len(coded) == 1:
+            return coded[0]
+        return b" ".join([ids for ids, _ in coded]), b" ".join([text for _, text in coded])
+
+    def part(self, raw: bytes) -> tuple[bytes, bytes]:
         chunks = raw.split()
         new = set(chunks).difference(self.ids)
         if new:

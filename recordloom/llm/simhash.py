@@ -28,7 +28,7 @@ from ..operators.durable import keep
 from ..operators.spread import apart
 from .anchors import integer_key
 from .graph import components
-from .textscan import by_bytes, mix, packed, unpacked
+from .textscan import by_bytes, mix, packed, parts, unpacked
 
 #: Owners of one block.
 BLOCK = 4096
@@ -99,15 +99,16 @@ def memberships(prints: np.ndarray, tables: list[tuple[int, ...]], excess: int)
 
 def shingle_hashes(raw: bytes, size: int, seed: int) -> np.ndarray:
     """XXH64 of each run of ``size`` words, joined by one space; of all words if there are fewer; none without words. ASCII capitals are made small."""
-    words = raw.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) <= size:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed)], np.uint64)
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    ends = list(accumulate(len(w) + 1 for w in words))
-    starts = [0, *ends]
-    return np.array([digest(joined[a : b - 1], seed) for a, b in zip(starts, ends[size - 1 :], strict=False)], np.uint64)
+    digest, out, words = xxhash.xxh64_intdigest, [], []
+    for part in parts(raw):
+        words = [*words[len(words) - size + 1 :], *part.lower().split()] if len(words) >= size else words + part.lower().split()
+        if len(words) >= size:
+            joined = b" ".join(words)
+            ends = list(accumulate(len(w) + 1 for w in words))
+            out.append(np.array([digest(joined[a : b - 1], seed) for a, b in zip([0, *ends], ends[size - 1 :], strict=False)], np.uint64))
+    if out:
+        return np.concatenate(out)
+    return np.array([digest(b" ".join(words), seed)], np.uint64) if words else np.zeros(0, np.uint64)
 
 
 def fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,6 +61,19 @@ def opened(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES // 4) ->
         yield batch.set_column(batch.schema.get_field_index("packed"), "raw", raw)
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def parts(raw: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """A text in parts of about ``step`` bytes, cut at white space, so that the words of a very long one needn't be held at once."""
+    at = 0
+    while at < len(raw):
+        found = _SPACE.search(raw, at + step)
+        end = found.start() if found else len(raw)
+        yield raw[at:end] if at or end < len(raw) else raw
+        at = end
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:

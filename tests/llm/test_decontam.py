@@ -129,3 +129,19 @@ def test_no_similar_item_is_without_a_hit():
         index = D.Index.of([7], [" ".join(item).encode()])
         texts = [" ".join("x" if k in other else w for k, w in enumerate(item)).encode() for other in combinations(range(n), n // 5)]
         assert {d for d, _ in index.leaks(pa.array(texts, pa.binary()))} == set(range(len(texts))), n
+
+
+def test_long_texts_and_common_seeds(spark, monkeypatch):
+    """A very long text, and one word over and over on both sides: every seed of it hits every place."""
+    r = random.Random(11)
+    long = [f"w{r.randrange(3000)}" for _ in range(150_000)]
+    items = [(1, " ".join(long[90_000:90_040])), (2, "echo " * 60), (3, " ".join(f"v{k}" for k in range(20)))]
+    docs = [(10, " ".join(long)), (11, "echo " * 3000), (12, "echo " * 5), (13, "x " * 50_000)]
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(10, 1, 40, 40, 90_000), (11, 2, 60, 60, 2940)}
+    assert {tuple(x) for x in D.contaminated(table, bench).collect()} == want
+    import pyarrow as pa
+
+    monkeypatch.setattr(D, "MOST_HITS", 64)
+    index = D.Index.of([2], [items[1][1].encode()])
+    assert index.leaks(pa.array([b"y " + b"echo " * 300], pa.binary())) == {(0, 0): (60, 60, 241)}

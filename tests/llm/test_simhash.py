@@ -6,6 +6,7 @@ import xxhash
 
 from recordloom.llm import simhash as S
 from recordloom.llm.graph import components
+from recordloom.llm.textscan import parts
 
 
 def brute_print(text, size=3):
@@ -182,3 +183,15 @@ def test_near_copies_keep_columns_of_any_name(spark):
     assert [tuple(r) for r in got] == [rows[0], rows[2], rows[4]]
     with pytest.raises(TypeError):
         S.without_near_copies(docs.withColumn("doc_id", docs["doc_id"].cast("string")))
+
+
+def test_very_long_texts(spark, monkeypatch):
+    r = random.Random(9)
+    long = " ".join(f"Wo{r.randrange(10**5)}" for _ in range(400_000))
+    docs = [(1, long), (2, long + "\n"), (3, "é" * 2_000_000), (4, "a b")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(((x.doc_id, x.fingerprint, x.component_id) for x in S.near_duplicates(table).collect()), key=str) == brute(docs)
+    raw = long[:30_000].encode()
+    for step in (1, 7, 1000):
+        monkeypatch.setattr(S, "parts", lambda x, step=step: parts(x, step))
+        assert (S.shingle_hashes(raw, 3, 42) == np.array([xxhash.xxh64_intdigest(b" ".join(g), 42) for g in zip(*(raw.lower().split()[k:] for k in range(3)))], np.uint64)).all()
