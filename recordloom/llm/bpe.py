@@ -11,8 +11,8 @@ did: which state was copied for a new token (that of its right part), which arc
 arc was cut, and when. The presence of an arc follows from these tables, and the rows that texts use are filled into a
 transition table as they are met.
 
-A word is encoded by running the automaton along its symbols: a position is reached by the one token that ends there
-and whose arc leaves the state of the position where it starts. Decoding emits the labels of the arcs.
+A word is encoded by running the automaton along its symbols: from each state reached, the longest token that has an arc there
+and from whose end the run can go on. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def _byte_level() -> dict[int, int]:
 
 
 BYTE_LEVEL = _byte_level()
-INNER, LAST = 0, 1
+INNER, LAST = 1, 2
 
 
 class Automaton:
@@ -67,13 +67,16 @@ class Automaton:
         for rank, (u, v) in enumerate(merges):
             if self.gadget(rank, vocab[u], vocab[v], vocab[u + v]):
                 tokens.append(vocab[u + v])
-        # the spellings of the arcs' labels, letter by letter; a node holds the token spelled so far under INNER or LAST
-        self.spelled: dict = {}
+        # the spellings of the arcs' labels, letter by letter: what follows, and the token spelled so far within a word and at its end
+        self.spelled: dict[str, list] = {}
+        self.longest = max((len(self.labels[i].removesuffix(end)) for i in tokens), default=0)
         for i in tokens:
-            node = self.spelled
+            follow, entry = self.spelled, None
             for letter in self.labels[i].removesuffix(end):
-                node = node.setdefault(letter, {})
-            node[LAST if self.labels[i].endswith(end) else INNER] = i
+                entry = follow.setdefault(letter, [{}, None, None])
+                follow = entry[0]
+            if entry is not None:
+                entry[LAST if self.labels[i].endswith(end) else INNER] = i
 
     def gadget(self, rank: int, left: int, right: int, token: int) -> bool:
         """Applies a merge; False if no state has both arcs, and so the token is never spelled."""
@@ -104,35 +107,51 @@ class Automaton:
         known = self.arcs[state << 20 | token] = self._has(state, token, float("inf"), False)
         return known
 
+    def readings(self, word: str, start: int) -> list[tuple[int, int]]:
+        """(token, end) of the tokens spelled from ``start`` on, the longest last."""
+        n, follow, i, out = len(word), self.spelled, start, []
+        for letter in word[start : start + self.longest]:
+            entry = follow.get(letter)
+            if entry is None:
+                break
+            i += 1
+            follow, inner, last = entry
+            token = inner if i < n else last
+            if token is not None:
+                out.append((token, i))
+        return out
+
     def encode(self, word: str) -> list[int]:
-        """The tokens of a pre-split word, a non-empty string of base symbols."""
+        """The tokens of a pre-split word, a non-empty string of base symbols.
+
+        The automaton is run along the word, the longest token first wherever the state has several; where none goes on, the run steps back. Each
+        beginning of the word has one accepted spelling, so a place is left for good once nothing goes on behind it.
+        """
         n, arcs = len(word), self.arcs
-        at: list[int | None] = [None] * (n + 1)
-        at[0], back = START, [0] * (n + 1)
-        for j in range(n):
-            state = at[j]
-            if state is None:
-                raise ValueError(f"no token ends at {j} of {word[:40]!r}")
-            node = self.spelled
-            for i in range(j + 1, n + 1):
-                node = node.get(word[i - 1])
-                if node is None:
-                    break
-                if at[i] is None:
-                    token = node.get(INNER if i < n else LAST)
-                    if token is not None:
-                        if j:
-                            has = arcs.get(state << 20 | token)
-                            if has is None:
-                                has = self.arc(state, token)
-                            if not has:
-                                continue
-                        at[i], back[i] = token, j
-        out, i = [], n
-        while i:
-            out.append(at[i])
-            i = back[i]
-        return out[::-1]
+        out, open_, places, dead = [START], [self.readings(word, 0)], [0], set()
+        while open_:
+            state, ways = out[-1], open_[-1]
+            while ways:
+                token, end = ways.pop()
+                if end in dead:
+                    continue
+                if state != START:
+                    has = arcs.get(state << 20 | token)
+                    if has is None:
+                        has = self.arc(state, token)
+                    if not has:
+                        continue
+                out.append(token)
+                if end == n:
+                    return out[1:]
+                open_.append(self.readings(word, end))
+                places.append(end)
+                break
+            else:
+                dead.add(places.pop())
+                open_.pop()
+                out.pop()
+        raise ValueError(f"no tokens spell {word[:40]!r}")
 
     def decode(self, ids: list[int]) -> list[str]:
         """The labels of the arcs."""

@@ -402,9 +402,14 @@ def restore(out: np.ndarray, coded: np.ndarray, kind: np.ndarray, order: np.ndar
     linear = coded[kind[coded] >= 32]
     for o in np.unique(order[linear]).tolist():
         rows = linear[order[linear] == o]
+        # sample by sample, each a row of its own; what is worked out behind a shorter frame's end is not read
+        own, by, down = np.ascontiguousarray(out[rows].T), np.ascontiguousarray(factor[rows, :o].T), shift[rows]
         for t in range(o, int(size[rows].max())):
-            past = (factor[rows, :o] * out[rows, t - o : t][:, ::-1]).sum(axis=1)
-            out[rows, t] += past >> shift[rows]
+            past = by[0] * own[t - 1]
+            for j in range(1, o):
+                past += by[j] * own[t - 1 - j]
+            own[t] += past >> down
+        out[rows] = own.T
 
 
 def decode(streams: list[bytes]) -> list[tuple[Stream, np.ndarray, np.ndarray]]:
