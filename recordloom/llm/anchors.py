@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators.durable import keep
 from ..operators.spread import apart, numbered
-from .textscan import SLICE_BYTES, by_bytes, leftmost_minima, mix, packed, spans
+from .textscan import SLICE_BYTES, by_bytes, leftmost_minima, mix, packed, released, spans
 
 #: A null document id counts as this one, before all others.
 NO_ID = -(2**63)
@@ -115,7 +115,7 @@ def scanner(units: Units, width: int, gram: int, limit: int = SLICE_BYTES):
             ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tag"))
             yield pa.record_batch([anchor.view(np.int64), content.view(np.int64), ids[doc], tags[doc], pack(start, many)], ["anchor", "content", "did", "tag", "place"])
 
-    return run
+    return released(run)
 
 
 SEGMENT = "anchor long, content long, did long, tag long, place long"

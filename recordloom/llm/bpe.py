@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import by_bytes, give_back, parts
+from .textscan import by_bytes, give_back, parts, released
 
 #: Entries of each of a task's tables of known words. A full table becomes the old one, from which what is met again moves to the new one.
 MOST_KNOWN = 200_000
-MOST_ARCS = 300_000
+MOST_ARCS = 150_000
 BATCH_BYTES = 1 << 20
 START = -1
 #: Marks that stand alone behind a word.
@@ -54,11 +54,14 @@ class Automaton:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], end: str) -> None:
         self.end = end
-        self.labels = {i: t for t, i in vocab.items()}
-        self.born: dict[int, int] = {}
-        self.copied: dict[int, int] = {}  # token -> token whose state its own state is a copy of
-        self.beside: dict[int, int] = {}  # token -> token beside whose arcs its arcs were added
-        self.cut: dict[tuple[int, int], int] = {}  # (state, token) -> when the arc was cut
+        size = max(vocab.values()) + 1
+        self.labels = [""] * size
+        for t, i in vocab.items():
+            self.labels[i] = t
+        self.born: list[int | None] = [None] * size
+        self.copied = [0] * size  # the token whose state a token's own state is a copy of
+        self.beside = [0] * size  # the token beside whose arcs a token's arcs were added
+        self.cut: dict[int, int] = {}  # by state and token: when the arc was cut
         self.arcs: dict[int, bool] = {}
         made = {u + v for u, v in merges}
         tokens = [i for t, i in vocab.items() if t not in made]
@@ -80,17 +83,18 @@ class Automaton:
 
     def gadget(self, rank: int, left: int, right: int, token: int) -> bool:
         """Applies a merge; False if no state has both arcs, and so the token is never spelled."""
-        if left not in self.born or right not in self.born or token in self.born or not self._has(left, right, rank, False):
+        born = self.born
+        if born[left] is None or born[right] is None or born[token] is not None or not self._has(left, right, rank, False):
             return False
-        self.born[token], self.copied[token], self.beside[token] = rank, right, left
-        self.cut[left, right] = rank
+        born[token], self.copied[token], self.beside[token] = rank, right, left
+        self.cut[left << 20 | right] = rank
         return True
 
     def _has(self, state: int, token: int, when: float, after: bool) -> bool:
         """Has the state behind ``state`` an arc ``token`` just before (or after) the gadget ``when``?"""
         born, cut = self.born, self.cut
         while True:
-            gone = cut.get((state, token))
+            gone = cut.get(state << 20 | token)
             if gone is not None and (gone <= when if after else gone < when):
                 return False
             if born[token] >= born[state]:
@@ -188,7 +192,10 @@ class Codec:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.automaton.labels.update({i: t for t, i in self.special.items()})
+        labels = self.automaton.labels
+        labels += [""] * (max(self.special.values(), default=0) + 1 - len(labels))
+        for t, i in self.special.items():
+            labels[i] = t
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # the file's own rule, with its classes narrowed to what printable lower-case ASCII can hold
@@ -315,7 +322,7 @@ def coder(path: str, more: tuple[str, ...], most_known: int = MOST_KNOWN):
         del codec
         give_back()
 
-    return run
+    return released(run)
 
 
 def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", more: tuple[str, ...] = ("ids", "decoded"), most_known: int = MOST_KNOWN) -> DataFrame:

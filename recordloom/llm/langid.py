@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.durable import keep
-from .textscan import by_bytes, spans
+from .textscan import by_bytes, released, spans
 
 WINDOW, WIDTHS, FILTERS, EMBED = 160, (2, 3, 4), 12, 6
 #: The sample the classifier is fitted on: rows of each language, and windows of each row.
@@ -172,7 +172,7 @@ def predictor(net: Network | None):
                 score = np.where(known, np.clip(total.max(axis=1), 0, 1), 0.0)
             yield pa.RecordBatch.from_pydict({"id": batch.column(0), "lang_pred": pa.array(names, pa.string()), "score": pa.array(score)})
 
-    return run
+    return released(run)
 
 
 def identify(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:

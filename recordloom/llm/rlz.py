@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.spread import apart
 from .anchors import NO_ID, SEGMENT, Rolling, compact, per_document, scanner, shared, start_of, texts, windows_of
-from .textscan import give_back, opened, spans, word_hashes, words
+from .textscan import give_back, opened, released, spans, word_hashes, words
 
 WIDTH, GRAM = 20, 6
 #: What the index says of a text: ``many`` windows from ``start`` on equal those from ``at`` on of the text (ref, which).
@@ -59,7 +59,7 @@ def boundary_windows(width: int):
             ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tag"))
             yield pa.record_batch([anchor[row], grams[first[doc] + at].view(np.int64), ids[doc], tags[doc], at], ["anchor", "window", "did", "tag", "start"])
 
-    return run
+    return released(run)
 
 
 def referred(found: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
@@ -192,7 +192,7 @@ def remover(width: int, full: bool):
                 out |= {"kept": pa.array([bytes(k).decode("utf-8", "replace") for k in kept], pa.string()), "spans": pa.array(runs, run_kind), "factors": pa.array(referred, factor_kind)}
             yield pa.RecordBatch.from_pydict(out)
 
-    return run
+    return released(run)
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, full: bool = True) -> DataFrame:

@@ -28,7 +28,7 @@ from ..operators.durable import keep
 from ..operators.spread import apart
 from .anchors import integer_key
 from .graph import components
-from .textscan import by_bytes, mix, packed, parts, unpacked
+from .textscan import by_bytes, mix, packed, parts, released, unpacked
 
 #: Owners of one block.
 BLOCK = 4096
@@ -148,7 +148,7 @@ def printer(size: int, seed: int, words: int, similarity: float | None = None):
             else:
                 yield pa.record_batch([*prints, pa.array(few, pa.list_(pa.int64()))], ["id", "print", "few"])
 
-    return run
+    return released(run)
 
 
 def _prints(array: pa.Array) -> np.ndarray:
@@ -166,7 +166,7 @@ def placer(tables: list[tuple[int, ...]], excess: int, owners: bool):
                 row, anchor, owner = memberships(_prints(column), tables, 0 if owners else excess)
                 yield pa.record_batch([pa.array(anchor), column.take(pa.array(row)), pa.array(owner)], ["anchor", "print", "owner"])
 
-    return run
+    return released(run)
 
 
 def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -234,7 +234,7 @@ def comparer(most: int):
                 at, held, sets = (anchor[-1], block[-1]), [], None
             yield _pairs(out)
 
-    return run
+    return released(run)
 
 
 def links(prints: DataFrame, tables: list[tuple[int, ...]], excess: int, most: int) -> DataFrame:
@@ -304,7 +304,7 @@ def shingle_sets(size: int, seed: int):
             sets = [np.unique(shingle_hashes(raw.as_py(), size, seed)).tobytes() for raw in unpacked(batch.column("packed"))]
             yield pa.record_batch([batch.column("did"), batch.column("mark"), pa.array(sets, pa.binary())], ["did", "mark", "shingles"])
 
-    return run
+    return released(run)
 
 
 class Owners:
@@ -391,7 +391,7 @@ def verifier(most: int, similarity: float):
         if held and owners is None:
             yield _pairs(whole().among())
 
-    return run
+    return released(run)
 
 
 def similar_links(sets: DataFrame, most: int, similarity: float) -> DataFrame:

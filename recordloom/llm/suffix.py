@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.spread import apart
 from .anchors import NO_ID, SEGMENT, Rolling, compact, per_document, scanner, shared, start_of, texts, windows_of
-from .textscan import by_bytes, mix, opened, spans
+from .textscan import by_bytes, mix, opened, released, spans
 
 WIDTH, GRAM = 400, 32
 #: Bytes of segments that are refined together, and different segments of an anchor that are (a segment has under twice the width).
@@ -104,7 +104,7 @@ def pieces(width: int):
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "did", "tag", "start", "many", "piece"])
 
-    return run
+    return released(run)
 
 
 def refiner(width: int):
@@ -144,7 +144,7 @@ def refiner(width: int):
         if held:
             yield work(pa.Table.from_batches(held))
 
-    return run
+    return released(run)
 
 
 def pointed_windows(width: int):
@@ -166,7 +166,7 @@ def pointed_windows(width: int):
             ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tag"))
             yield pa.record_batch([anchor[row], near, far, ids[doc], tags[doc], at], ["anchor", "near", "far", "did", "tag", "start"])
 
-    return run
+    return released(run)
 
 
 RUN = "did long, tag long, start long, many long"
@@ -230,7 +230,7 @@ def remover(width: int, full: bool):
                 out |= {"kept": pa.array(kept_all, pa.binary()), "spans": pa.array(runs_all, pa.list_(pa.struct([("start", pa.int64()), ("bytes", pa.int64())])))}
             yield pa.RecordBatch.from_pydict(out)
 
-    return run
+    return released(run)
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, full: bool = True, group: int = GROUP) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import supported
-from .textscan import by_bytes, spans, words
+from .textscan import by_bytes, released, spans, words
 
 #: Known lengths kept by a task; the table is emptied when it is full.
 MOST_KNOWN = 400_000
@@ -103,7 +103,7 @@ def counter(path: str):
                 total = running[first[1:]] - running[first[:-1]]
             yield pa.record_batch([batch.column(0), pa.array(np.diff(offsets)), pa.array(total)], ["id", "n_bytes", "n_tokens"])
 
-    return run
+    return released(run)
 
 
 def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = 2048) -> DataFrame:
