@@ -53,7 +53,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(docs.sparkSession)
     import public_tokenizers
 
-    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), more=("ids",), most_known=60_000)
+    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), more=("ids",), most_known=40_000)
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 
