@@ -239,6 +239,8 @@ def stripped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     rows, several = texts(docs, key, text, rest)
     plain = compact(rows)
     found = per_document(hits(rows, plain, several, width), *HIT)
-    cut = plain.join(found, ["did", "tag"], "left").select("rest", F.col("spans").isNotNull().alias("changed"), kept("packed", "spans").alias("text"))
+    # not to be worked out twice, for the condition and for the result
+    once = kept.asNondeterministic()
+    cut = plain.join(found, ["did", "tag"], "left").select("rest", F.col("spans").isNotNull().alias("changed"), once("packed", "spans").alias("text"))
     back = {text: F.when(F.col("rest.none"), F.lit(None)).otherwise(F.col("text").cast("string"))} | {c: F.col(f"rest.c{k}") for k, c in enumerate(others)}
     return cut.where("not changed or octet_length(text) > 0").select(*(back[c].alias(c) for c in docs.columns))
