@@ -237,7 +237,7 @@ def block_releases(tracks: DataFrame, releases: DataFrame, names: DataFrame, key
     ids = tracks.join(names, F.col("first_name") == F.col("name_key")).select(key, "first_name", "h_title", "artist_id").distinct()
     by_id = ids.join(releases, "artist_id").select(by_name.columns)
     title = F.exists("titles", lambda t: Z.title_test(F.col("h_title"), t["plain"], t["forms"]))
-    return by_name.unionByName(by_id).where(title).groupBy(key, "release_id", "artist_id").agg(F.max(F.col("first_name") == F.col("name_key")).alias("exact"))
+    return by_name.unionByName(by_id).where(title).groupBy(key, "release_id", "artist_id").agg(F.max(F.coalesce(F.col("first_name") == F.col("name_key"), F.lit(False))).alias("exact"))
 
 
 def choose_releases(matches: DataFrame, key: str) -> DataFrame:
