@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import extract as X
 from ..operators.durable import new_folder
@@ -37,7 +38,7 @@ def playlist_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _encoded(name: str):
-    @F.arrow_udf("binary")
+    @F.arrow_udf(T.BinaryType())
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([None if t is None else t.encode(name) for t in texts.to_pylist()], pa.binary())
 

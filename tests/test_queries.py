@@ -1,5 +1,7 @@
 """Every base query against its DuckDB equivalent."""
 
+import os
+
 import duckdb
 import pandas as pd
 import pytest
@@ -44,3 +46,11 @@ def test_entry_and_guard(spark):
 
     assert E.entry(spark).count() == 150
     assert set(Q.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr[-500:]
