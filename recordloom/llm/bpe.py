@@ -31,7 +31,7 @@ from .textscan import by_bytes, give_back, parts, released
 
 #: Entries of each of a task's tables of known words. A full table becomes the old one, from which what is met again moves to the new one.
 MOST_KNOWN = 200_000
-MOST_ARCS = 150_000
+MOST_ARCS = 200_000
 BATCH_BYTES = 1 << 20
 START = -1
 #: Marks that stand alone behind a word.
