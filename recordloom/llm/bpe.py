@@ -262,8 +262,6 @@ class Codec:
         return known
 
     def learn(self, new: set[bytes]) -> None:
-        if len(self.ids) + len(new) > self.most_known:
-            self.old, self.ids, self.texts = (self.ids, self.texts), {}, {}
         old_ids, old_texts = self.old
         for raw in new:
             if raw in old_ids:
@@ -287,14 +285,19 @@ class Codec:
 
     def part(self, raw: bytes) -> tuple[bytes, bytes]:
         chunks = raw.split()
-        new = set(chunks).difference(self.ids)
-        if new:
+        found = list(map(self.ids.get, chunks))
+        if None in found:
+            new = {c for c, ids in zip(chunks, found, strict=True) if ids is None}
+            if len(self.ids) + len(new) > self.most_known:
+                # what this text needs goes into the new tables, whatever their size
+                self.old, self.ids, self.texts = (self.ids, self.texts), {}, {}
+                new = set(chunks)
             self.learn(new)
-            if not self.ids.keys() >= set(chunks):  # the tables were changed meanwhile
-                self.learn(set(chunks).difference(self.ids))
+            found = list(map(self.ids.__getitem__, chunks))
         if self.silent and not self.silent.isdisjoint(chunks):
             chunks = [c for c in chunks if c not in self.silent]
-        return b" ".join(map(self.ids.__getitem__, chunks)), b" ".join(map(self.texts.__getitem__, chunks))
+            found = list(map(self.ids.__getitem__, chunks))
+        return b" ".join(found), b" ".join(map(self.texts.__getitem__, chunks))
 
 
 def coder(path: str, more: tuple[str, ...], most_known: int = MOST_KNOWN):

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 
 import numpy as np
 import public_tokenizers
@@ -102,3 +103,15 @@ def test_long_pieces_are_cut_at_safe_places(spark, library):
     data = np.frombuffer(texts[0].encode(), np.uint8)
     starts, ends = C.shorter(data, np.array([0]), np.array([len(data)]))
     assert len(starts) == len(ends) >= len(data) // C.LONG - 1 and (starts[1:] == ends[:-1]).all() and int((ends - starts).max()) < 2 * C.LONG
+
+
+@pytest.mark.parametrize("most", [1, 50, 3000])
+def test_tables_of_any_size(library, most):
+    """Texts with more different words than a table holds, after others."""
+    r = random.Random(most)
+    codec = Codec(PATH, most)
+    for n in (5, 2000, 3, 400, 2000):
+        text = " ".join("".join(r.choice("abcdeé'.1") for _ in range(r.randrange(1, 9))) for _ in range(n)) + " \u200b"
+        want = library.encode(text, add_special_tokens=False).ids
+        ids, decoded = codec.code(text.encode())
+        assert [int(x) for x in ids.split()] == want and decoded.decode() == library.decode(want, skip_special_tokens=False)
