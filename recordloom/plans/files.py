@@ -146,7 +146,7 @@ def cue_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     performer = F.concat(F.lit("Артист "), F.col("l_partkey"), F.when(early, " [Альбом, второй, Лейбл]").otherwise(""))
     block = F.concat(
         F.format_string("\n  TRACK %02d AUDIO\n", F.col("nth")), F.lit('    TITLE "'), F.when(F.col("talk"), F.format_string("(Track %02d)", F.col("nth"))).otherwise(F.col("p_name")), F.lit('"\n    PERFORMER "'), performer, F.lit('"\n'),
-        F.when(later, F.concat(F.lit("    REM FMDALBUM Alb "), F.col("l_partkey"), F.lit("\n"))).otherwise(""),
+        F.when(later, F.concat(F.lit("    REM XALBUM Alb "), F.col("l_partkey"), F.lit("\n"))).otherwise(""),
     )
     sheets = songs.groupBy("k").agg(F.concat(F.lit('TITLE "x"\nPERFORMER "y"'), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", block.alias("b")))), lambda x: x["b"]), "")).alias("text"))
     name = F.concat(F.lit("Show_N"), F.col("k"), F.lit("_01.08.2010_1.cue"))
