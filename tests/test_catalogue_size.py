@@ -52,3 +52,33 @@ def test_a_key_with_several_albums_counts_all_its_masters(spark):
     names = spark.createDataFrame([(1, "nits"), (1, "nits"), (194, "various")], "artist_id int, name_key string")
     want = [(1, "ambiguous", None), (1, "ambiguous", None), (1, "no_album", None), (2, "matched", 5), (2, "matched", 10), (3, "compilation", None), (3, "compilation", None), (None, "unmatched", None)]
     assert rows(C.match_masters(tracks, masters, names, "key"), "key", "class", "master_id") == sorted(want, key=str)
+
+
+PAIRS = "key int, artist string, track string, album string, song_artist string, song_title string, song_album string, released string, id int, pos int"
+
+
+def keyed(t):
+    return C.with_keys(C.with_keys(t, "artist", "track", "album", "h_"), "song_artist", "song_title", "song_album", "c_")
+
+
+def test_an_album_of_many_songs_for_many_tracks(spark):
+    n = 12_000
+    k = F.col("id")
+    none = keyed(spark.createDataFrame([], PAIRS))
+    tracks = C.with_keys(spark.range(n).select(k.alias("key"), F.concat(F.lit("Some long title of a track, no. "), k % 40).alias("track")), title="track", prefix="h_")
+    albums = spark.range(n).select(k.alias("key"), F.lit(70).alias("collection_id"), (k % 2 == 0).alias("own"), F.lit(0).alias("pos"))
+    songs = C.with_keys(spark.range(n).select(F.lit(70).alias("collection_id"), k.alias("id"), F.concat(F.lit("Some long title of a track, no. "), 20 + k % 40).alias("t"), F.concat(1950 + k % 50, F.lit("-01-01")).alias("released"), (k % 3 == 0).alias("own_artist"), (-k).alias("pos")), title="t", prefix="c_")
+    began = time.monotonic()
+    got = rows(C.find_song(tracks, none, none, albums, songs, "key").join(tracks.select("key", (F.col("key") % 40).alias("of")), "key").groupBy("of", "id", "year", "via").count(), "of", "id", "year", "via", "count")
+    last = lambda of: n - 40 + of - 20  # noqa: E731  the song that comes first is the last of its title
+    assert got == sorted([(of, last(of), 1950 + last(of) % 50 if of % 2 == 0 or last(of) % 3 == 0 else None, "album", n // 40) for of in range(20, 40)], key=str)
+    assert time.monotonic() - began < 60
+
+
+def test_texts_compared_once_give_the_same_picks(spark):
+    artists, titles, albums = ["A & B", "Nits", "", None, "The Nits", "Beirut"], ["Song", "Song (Live)", "Crequee Alley", "Creeque Alley", None, "Tune, pt II", "Tune part 2"], ["LP", "Live", None, "", "LP - Deluxe"]
+    data = [(k % 90, artists[k % 6], titles[k % 7], albums[k % 5], artists[k * 5 // 7 % 6], titles[k // 3 % 7], albums[k // 11 % 5], None if k % 9 == 0 else str(1890 + k % 130), k, k) for k in range(3000)]
+    t = spark.createDataFrame([*data, (None, *data[0][1:])], PAIRS)
+    columns = ["key", "id", "year", "near", "weak"]
+    want = rows(C.pick_song(keyed(t), "key"), *columns)
+    assert len(want) > 20 and rows(C.pick_song(C.judged_once(t), "key"), *columns) == want
